@@ -16,7 +16,12 @@ ROW_MASK = (1 << ROW_BITS) - 1
 
 
 def monotonic_key() -> Column:
-    """Unique, with gaps, and different on every run."""
+    """Unique, with gaps, and different on every run.
+
+    The number depends on where a row is processed. Add it in the step that
+    writes the rows (:func:`starloom.operators.load.write_table` does): with a
+    shuffle behind it, a lost task that runs again may number rows differently.
+    """
     return F.monotonically_increasing_id()
 
 
@@ -29,16 +34,20 @@ def hash_key(*parts: Column) -> Column:
     return F.md5(F.concat(*[part.cast("string") for part in parts]))
 
 
-def dense_key(df: DataFrame, order: Sequence[str], name: str = "songplay_id", start: int = 1) -> DataFrame:
-    """Number the rows ``start``, ``start + 1``, ... in the given order.
+def dense_key(
+    df: DataFrame, order: Sequence[str] = (), name: str = "songplay_id", start: int = 1
+) -> DataFrame:
+    """Number the rows ``start``, ``start + 1``, ... in the given order, if any.
 
     Rows are range-partitioned on ``order`` and stored with their partition and
     position. The counts per partition then turn positions into numbers, so no
     task sees more than one range. The offsets have one row per partition of the
-    stored table, which bounds the side that is broadcast.
+    stored table, which bounds the side that is broadcast. Without an order rows
+    are stored as they come, and nothing is shuffled.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    stored = materialize(ranged.withColumn("_mark", F.monotonically_increasing_id()), "dense-key")
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = materialize(df.withColumn("_mark", F.monotonically_increasing_id()), "dense-key")
     stored = stored.withColumn("_range", F.shiftright("_mark", ROW_BITS))
 
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

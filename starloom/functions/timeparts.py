@@ -26,8 +26,15 @@ def start_time(ts: str, whole_seconds: bool = False) -> Column:
 
 
 def epoch_ms(moment: str) -> Column:
-    """Zone-less time to whole epoch milliseconds, fraction cut off."""
-    return F.expr(f"timestampdiff(MILLISECOND, {EPOCH}, {moment})")
+    """Zone-less time to whole epoch milliseconds, fraction cut off.
+
+    Taken apart by date and clock, because differences of times are computed in
+    the session's zone.
+    """
+    return F.expr(
+        f"unix_date(CAST({moment} AS DATE)) * 86400000L + hour({moment}) * 3600000L"
+        f" + minute({moment}) * 60000L + CAST(extract(SECOND FROM {moment}) * 1000 AS BIGINT)"
+    )
 
 
 def weekday(moment: Column, style: str = "name") -> Column:

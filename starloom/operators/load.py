@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.keys import monotonic_key
+
 
 def write_table(
     df: DataFrame,
@@ -14,6 +16,7 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     only_touched_partitions: bool = False,
+    number: str | None = None,
 ) -> None:
     """Write Parquet files of a sensible size.
 
@@ -21,9 +24,14 @@ def write_table(
     so each directory gets few files; adaptive execution splits a value that holds
     too much for one task and joins small ones. With ``only_touched_partitions``
     an overwrite replaces just the partitions that ``df`` has rows for.
+
+    ``number`` adds a unique number under that name. Each task numbers the rows
+    it writes, so a task that runs again cannot give a number twice.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    if number:
+        df = df.select(monotonic_key().alias(number), "*")
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

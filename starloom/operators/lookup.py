@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.rows import with_keys
 from starloom.operators.upsert import last_by_key
 
 
@@ -80,7 +81,8 @@ def build_lookup(staged: DataFrame, lookup: Lookup, order: Sequence[str] = ()) -
     extra = [name for name in order if name not in lookup.columns]
     rows = staged.select(
         *[F.col(source).alias(name) for name, source in lookup.columns.items()], *extra
-    ).dropna(subset=lookup.primary_key)
+    )
+    rows = with_keys(rows, *lookup.primary_key)
     return last_by_key(rows, lookup.primary_key, order).select(*lookup.columns)
 
 

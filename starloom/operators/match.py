@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.numbers import fixed_point
+from starloom.operators.rows import with_keys
 from starloom.operators.skew import join_spreading_hot_keys
 
 
@@ -72,9 +73,8 @@ def match(
 
     names = [f"_key{i}" for i in range(len(keys))]
     left = events.withColumns({name: key.of_event() for name, key in zip(names, keys)})
-    right = catalogue.select(
-        *[key.of_song().alias(name) for name, key in zip(names, keys)], *add
-    ).dropna(subset=names)
+    right = catalogue.select(*[key.of_song().alias(name) for name, key in zip(names, keys)], *add)
+    right = with_keys(right, *names)
     if duplicates == "first":
         right = right.groupBy(*names).agg(F.min(F.struct(*add)).alias("_pick")).select(*names, "_pick.*")
     if hot_share is None:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.operators.load import write_table
 
@@ -55,11 +55,20 @@ def current(spark: SparkSession, root: str) -> dict[str, Published]:
 
 
 def write_version(
-    df: DataFrame, root: str, table: str, version: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    table: str,
+    version: str,
+    partition_by: Sequence[str] = (),
+    number: str | None = None,
 ) -> DataFrame:
     """Store rows under a version that nobody reads yet; gives the stored rows."""
-    write_table(df, f"{root}/{table}/{VERSION}={version}", "overwrite", partition_by)
-    return read_versions(df.sparkSession, root, table, [version], df.schema)
+    path = f"{root}/{table}/{VERSION}={version}"
+    write_table(df, path, "overwrite", partition_by, number=number)
+    schema = df.schema
+    if number:
+        schema = StructType([StructField(number, LongType()), *schema.fields])
+    return read_versions(df.sparkSession, root, table, [version], schema)
 
 
 def publish(

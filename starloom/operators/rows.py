@@ -18,7 +18,9 @@ def plays_only(events: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
 
 def with_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Rows whose business keys are all present."""
-    return df.dropna(how="any", subset=list(keys))
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df
 
 
 def non_empty(df: DataFrame, *names: str) -> DataFrame:

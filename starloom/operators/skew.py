@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from starloom.operators.rows import with_keys
+
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     """Keys that hold at least ``share`` of the rows; there can be at most ``1 / share``.
 
-    Rows are counted per key on the map side first, so this shuffles counts only.
+    One job counts rows per key, on the map side first, and adds the counts up on
+    the way; only the largest ``1 / share`` counts come to the driver.
     """
     if not 0 < share <= 1:
         raise ValueError("share is above 0 and at most 1")
-    least = max(1, int(df.count() * share))
-    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    found = counts.filter(F.col("_rows") >= least).select(*keys)
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+    counts = with_keys(df, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    seen = Observation()
+    seen_counts = counts.observe(seen, F.sum("_rows").alias("total"))
+    largest = seen_counts.orderBy(F.desc("_rows")).limit(math.ceil(1 / share)).collect()
+    total = seen.get["total"] if largest else 0
+    hot = [tuple(row[key] for key in keys) for row in largest if row["_rows"] >= total * share]
+    return df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
 
 
 def join_spreading_hot_keys(
@@ -34,6 +41,9 @@ def join_spreading_hot_keys(
     The right rows of a hot key are repeated once per partition; all others stay
     single. ``how`` is ``inner`` or ``left``. The hot keys number at most
     ``1 / share``, so they are broadcast and collected safely.
+
+    The partition follows from the row's values and so stays the same when a
+    lost task runs again. Rows that agree in every column stay together.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")

@@ -15,70 +15,61 @@ FIRST = "_first"
 LAST = "_last"
 
 
-def _ordering(order: Sequence[str], values: Sequence[str]) -> Column:
-    """Sort key; rows that tie on ``order`` are told apart by the values they carry."""
+def _ranked(order: Sequence[str], values: Sequence[str]) -> Column:
+    """Values behind their sort key; rows that tie on ``order`` are told apart by values."""
     return F.struct(*[F.col(name) for name in dict.fromkeys([*order, *values])])
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the first in ``order``."""
-    values = [name for name in df.columns if name not in keys]
-    chosen = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*values), _ordering(order, values)).alias("_row")
-    )
-    return chosen.select(*[F.col(n) if n in keys else F.col(f"_row.{n}") for n in df.columns])
+    return _one_by_key(df, keys, order, F.min)
 
 
 def last_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the last in ``order``: a keyed overwrite."""
+    return _one_by_key(df, keys, order, F.max)
+
+
+def _one_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     values = [name for name in df.columns if name not in keys]
-    chosen = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), _ordering(order, values)).alias("_row")
-    )
+    chosen = df.groupBy(*keys).agg(pick(_ranked(order, values)).alias("_row"))
     return chosen.select(*[F.col(n) if n in keys else F.col(f"_row.{n}") for n in df.columns])
 
 
 def upsert_state(
     df: DataFrame, keys: Sequence[str], keep: Sequence[str], update: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
-    """Per key: the ``keep`` columns of its first row and the ``update`` columns of its last.
+    """Per key: its first row's ``keep`` columns and its last row's ``update`` columns.
 
-    The sort keys of both rows stay in the result, so states of several batches
-    can be merged later with :func:`merge_states`, in any grouping.
+    Each sits behind its sort key, so states of several batches can be merged
+    later with :func:`merge_states`, in any grouping.
     """
-    first, last = _ordering(order, keep), _ordering(order, update)
-    state = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*keep), first).alias("_keep"),
-        F.min(first).alias(FIRST),
-        F.max_by(F.struct(*update), last).alias("_update"),
-        F.max(last).alias(LAST),
+    return df.groupBy(*keys).agg(
+        F.min(_ranked(order, keep)).alias(FIRST), F.max(_ranked(order, update)).alias(LAST)
     )
-    return state.select(*keys, "_keep.*", "_update.*", FIRST, LAST)
 
 
-def merge_states(
+def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fold several states per key into one."""
+    return states.groupBy(*keys).agg(F.min(FIRST).alias(FIRST), F.max(LAST).alias(LAST))
+
+
+def rows_of(
     states: DataFrame, keys: Sequence[str], keep: Sequence[str], update: Sequence[str]
 ) -> DataFrame:
-    """Fold several states per key into one."""
-    merged = states.groupBy(*keys).agg(
-        F.min_by(F.struct(*keep), F.col(FIRST)).alias("_keep"),
-        F.min(FIRST).alias(FIRST),
-        F.max_by(F.struct(*update), F.col(LAST)).alias("_update"),
-        F.max(LAST).alias(LAST),
+    """The plain rows of one state per key."""
+    return states.select(
+        *keys,
+        *[F.col(f"{FIRST}.{name}") for name in keep],
+        *[F.col(f"{LAST}.{name}") for name in update],
     )
-    return merged.select(*keys, "_keep.*", "_update.*", FIRST, LAST)
 
 
 def upsert_rows(
     df: DataFrame, keys: Sequence[str], keep: Sequence[str], update: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """One row per key: ``keep`` from the first row in ``order``, ``update`` from the last."""
-    folded = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*keep), _ordering(order, keep)).alias("_keep"),
-        F.max_by(F.struct(*update), _ordering(order, update)).alias("_update"),
-    )
-    wide = folded.select(*keys, "_keep.*", "_update.*")
-    return wide.select(*[n for n in df.columns if n in wide.columns])
+    return rows_of(upsert_state(df, keys, keep, update, order), keys, keep, update)
 
 
 def insert_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

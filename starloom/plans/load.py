@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,7 +77,7 @@ def run(
     modes: dict[str, str] = {}
     stored: dict[str, DataFrame] = {}
 
-    def write(table: str, df: DataFrame) -> None:
+    def write(table: str, df: DataFrame, number: str | None = None) -> None:
         mode = profile.load_modes.get(table, "overwrite")
         if table in published and mode in ("merge", "insert"):
             earlier = publish.read_published(spark, output, table)
@@ -86,7 +86,7 @@ def run(
             else:
                 df = insert_absent(earlier, df, PRIMARY_KEYS[table])
         stored[table] = publish.write_version(
-            df, output, table, version, profile.partition_by.get(table, ())
+            df, output, table, version, profile.partition_by.get(table, ()), number
         )
         modes[table] = "append" if mode in ("append", "insert") else "overwrite"
 
@@ -103,7 +103,12 @@ def run(
     if profile.play_key == "dense" and "songplays" in published:
         plays = publish.read_published(spark, output, "songplays")
         first_id = (plays.agg(F.max("songplay_id")).first()[0] or 0) + 1
-    write("songplays", build_songplays(events, raw_songs, catalogue, profile, first_id))
+    if profile.play_key == "monotonic":
+        unnumbered = replace(profile, play_key="none")
+        songplays = build_songplays(events, raw_songs, catalogue, unnumbered)
+        write("songplays", songplays, number="songplay_id")
+    else:
+        write("songplays", build_songplays(events, raw_songs, catalogue, profile, first_id))
     _together(
         [
             (write, "users", build_users(events, profile)),

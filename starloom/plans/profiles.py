@@ -28,7 +28,8 @@ class Profile:
 
     # Fact
     whole_seconds: bool = False
-    play_key: str = "dense"  # dense, monotonic, hash
+    play_key: str = "dense"  # dense, monotonic, hash, or none: left to the writer
+    numbered_in_order: bool = True  # dense keys follow the event time
     dedup_fact: bool = False
     calendar_columns: tuple[str, ...] = ()  # of the fact, for its partitions
 
@@ -82,6 +83,7 @@ STAGED_INNER = Profile(
     match_keys=(ARTIST, TITLE),
     match_how="inner",
     whole_seconds=True,
+    numbered_in_order=False,
     time_scope="all",
     weekday_style="padded",
     duration_scale=0,

@@ -106,9 +106,12 @@ def build_songplays(
     if profile.dedup_fact:
         fact = distinct_rows(fact.drop("_item")).withColumn("_item", F.lit(0))
     if profile.play_key == "dense":
-        keyed = dense_key(fact, PLAY_ORDER, "songplay_id", first_id)
+        order = PLAY_ORDER if profile.numbered_in_order else ()
+        keyed = dense_key(fact, order, "songplay_id", first_id)
     elif profile.play_key == "monotonic":
         keyed = fact.select(monotonic_key().alias("songplay_id"), "*")
+    elif profile.play_key == "none":
+        keyed = fact
     elif profile.play_key == "hash":
         key = hash_key(F.col("session_id"), F.col("start_time"))
         keyed = fact.select(key.alias("songplay_id"), "*")

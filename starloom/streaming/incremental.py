@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StructType
 
 from starloom.operators import dims, publish
 from starloom.operators.rows import distinct_rows, plays_only
-from starloom.operators.upsert import FIRST, LAST, merge_states
+from starloom.operators.upsert import merge_states, rows_of
 from starloom.plans.profiles import Profile
 from starloom.plans.star import build_songplays, build_time
 from starloom.sources.convert import conform
@@ -31,8 +31,10 @@ def load_available(
 ) -> None:
     """Hand new files to ``apply_batch`` in batches of up to ``max_files``, then stop.
 
-    ``checkpoint`` remembers what has been read. A batch may be handed over again
-    after a failure, so ``apply_batch`` must give the same result the second time.
+    ``checkpoint`` remembers what has been read and numbers the batches; it
+    belongs to the tables the batches go to and must live as long as they do. A
+    batch may be handed over again after a failure, so ``apply_batch`` must give
+    the same result the second time.
     """
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
     if max_files:
@@ -108,7 +110,7 @@ class IncrementalStar:
 
     def users(self, spark: SparkSession) -> DataFrame:
         """One row per user as of all batches so far."""
-        return self._user_states(spark).drop(FIRST, LAST).select(*dims.USER_COLUMNS)
+        return rows_of(self._user_states(spark), ["user_id"], dims.USER_KEEP, dims.USER_UPDATE)
 
     def _user_states(self, spark: SparkSession, through: int | None = None) -> DataFrame:
         """One state per user from the base table and the batches after it."""
@@ -121,7 +123,7 @@ class IncrementalStar:
         states = states.drop(BATCH)
         if base:
             states = publish.read_published(spark, self.root, "users_base").unionByName(states)
-        return merge_states(states, ["user_id"], dims.USER_KEEP, dims.USER_UPDATE)
+        return merge_states(states, ["user_id"])
 
     def compact_users(self, spark: SparkSession, through: int) -> None:
         """Fold the user states of all batches up to ``through`` into one table."""

@@ -12,6 +12,7 @@ from starloom.operators.upsert import (
     insert_absent,
     merge_states,
     merge_upsert,
+    rows_of,
     upsert_rows,
     upsert_state,
 )
@@ -22,20 +23,15 @@ from starloom.workloads.standin import (
     PLAY,
     PLAYS_SQL,
     SONGS_SQL,
-    events_only,
+    plays,
     raw_events,
     raw_songs,
     table,
-    with_names,
 )
 
 SEEN = "struct_pack(a := ts, b := event_id)"
 
 
-def _named_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_names(plays_only(events_only(spark, sf_dir), PLAY), spark, sf_dir)
-
-
 @query(f"SELECT event_id, ts, user_id, value FROM events WHERE event_type = '{PLAY}'")
 def filter_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "page")
@@ -48,7 +44,7 @@ WITH {EVENTS_SQL}
 SELECT event_id, artist FROM ev WHERE artist IS NOT NULL AND artist <> ''"""
 )
 def filter_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return non_empty(raw_events(spark, sf_dir), "artist").select("event_id", "artist")
+    return non_empty(raw_events(spark, sf_dir, ("artist",)), "artist").select("event_id", "artist")
 
 
 @query(
@@ -58,7 +54,7 @@ SELECT DISTINCT userid AS user_id, firstname AS first_name, lastname AS last_nam
 FROM plays WHERE userid IS NOT NULL"""
 )
 def dim_users_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.users_distinct(_named_plays(spark, sf_dir))
+    return dims.users_distinct(plays(spark, sf_dir, ("names",)))
 
 
 @query(
@@ -70,7 +66,7 @@ SELECT userid AS user_id, min(firstname) AS first_name, min(lastname) AS last_na
 FROM plays GROUP BY userid"""
 )
 def dim_users_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.users_upsert(_named_plays(spark, sf_dir))
+    return dims.users_upsert(plays(spark, sf_dir, ("names",)))
 
 
 @query(f"WITH {SONGS_SQL} SELECT DISTINCT song_id, title, artist_id, year, duration FROM songs")
@@ -198,8 +194,8 @@ def upsert_merge_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     keep, update = ["first_props"], ["last_type"]
     states = upsert_state(events, ["user_id", "event_type"], keep, update, ["ts", "event_id"])
-    merged = merge_states(states.drop("event_type"), ["user_id"], keep, update)
-    return merged.select("user_id", "first_props", "last_type")
+    merged = merge_states(states.drop("event_type"), ["user_id"])
+    return rows_of(merged, ["user_id"], keep, update)
 
 
 @query(

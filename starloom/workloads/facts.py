@@ -25,10 +25,8 @@ from starloom.workloads.standin import (
     PLAY,
     events_only,
     plays,
-    raw_events,
     raw_songs,
     table,
-    with_names,
 )
 
 TITLE_SQL = f"""
@@ -38,14 +36,14 @@ SELECT event_id, song, song_id, artist_id FROM plays JOIN songs ON song = title"
 
 @query(TITLE_SQL)
 def fact_inner_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = match(plays(spark, sf_dir), raw_songs(spark, sf_dir), [TITLE])
+    rows = match(plays(spark, sf_dir, ("song",)), raw_songs(spark, sf_dir), [TITLE])
     return rows.select("event_id", "song", "song_id", "artist_id")
 
 
 @query(TITLE_SQL)
 def fact_inner_title_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``fact_inner_title``, with titles above 1 % of the plays dealt over partitions."""
-    rows = match(plays(spark, sf_dir), raw_songs(spark, sf_dir), [TITLE], hot_share=0.01)
+    rows = match(plays(spark, sf_dir, ("song",)), raw_songs(spark, sf_dir), [TITLE], hot_share=0.01)
     return rows.select("event_id", "song", "song_id", "artist_id")
 
 
@@ -162,7 +160,7 @@ SELECT DISTINCT userid AS user_id, level, song_id, artist_id
 FROM plays JOIN songs ON song = title"""
 )
 def fact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = match(plays(spark, sf_dir), raw_songs(spark, sf_dir), [TITLE])
+    rows = match(plays(spark, sf_dir, ("song",)), raw_songs(spark, sf_dir), [TITLE])
     return distinct_rows(rows.select(F.col("userId").alias("user_id"), "level", "song_id", "artist_id"))
 
 
@@ -199,8 +197,10 @@ JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON c_nationkey = n_nationkey"
 def star_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with all their dimensions.
 
-    Nations are the one table that does not grow with the data, so a copy for
-    every executor is asked for, behind a check of its size.
+    Orders take their customers along before they meet the lines, so the largest
+    table is shuffled once less; the dimension that adds most columns comes last.
+    Nations do not grow with the data, so a copy for every executor is asked for,
+    behind a check of their size.
     """
     fact = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
@@ -232,17 +232,22 @@ def star_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(
         "n_nationkey", F.col("n_name").alias("nation_name")
     )
+    buyers = star_join(
+        orders,
+        [
+            Dimension(customer, {"o_custkey": "c_custkey"}),
+            Dimension(nation, {"c_nationkey": "n_nationkey"}, replicate=True),
+        ],
+    ).drop("o_custkey", "c_nationkey")
     joined = star_join(
         fact,
         [
             Dimension(part, {"l_partkey": "p_partkey"}),
             Dimension(supplier, {"l_suppkey": "s_suppkey"}),
-            Dimension(orders, {"order_id": "o_orderkey"}),
-            Dimension(customer, {"o_custkey": "c_custkey"}),
-            Dimension(nation, {"c_nationkey": "n_nationkey"}, replicate=True),
+            Dimension(buyers, {"order_id": "o_orderkey"}),
         ],
     )
-    return joined.drop("l_partkey", "l_suppkey", "o_custkey", "c_nationkey")
+    return joined.drop("l_partkey", "l_suppkey")
 
 
 @query(
@@ -273,17 +278,15 @@ JOIN artists ON artists.artist_id = fact.artist_id JOIN times USING (start_time)
 )
 def star_retrieval_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plays star, with dimensions that have one row per key."""
-    events, songs = raw_events(spark, sf_dir), raw_songs(spark, sf_dir)
-    played = events.filter(F.col("page") == PLAY)
-    fact = match(played, songs, [ARTIST, TITLE]).select(
+    songs = raw_songs(spark, sf_dir)
+    fact = match(plays(spark, sf_dir), songs, [ARTIST, TITLE]).select(
         "event_id",
         start_time("ts", whole_seconds=True).alias("start_time"),
         F.col("userId").alias("user_id"),
         "song_id",
         "artist_id",
     )
-    named = with_names(events_only(spark, sf_dir).filter(F.col("page") == PLAY), spark, sf_dir)
-    users = dims.users_upsert(named).select("user_id", "first_name", "level")
+    users = dims.users_upsert(plays(spark, sf_dir, ("names",))).select("user_id", "first_name", "level")
     time = dims.time_dim(events_only(spark, sf_dir), "plays", True, play_page=PLAY)
     time = time.select("start_time", F.col("week").cast("long").alias("week"))
     joined = star_join(

@@ -150,5 +150,5 @@ SELECT rows_before, rows_after, CAST(rows_after AS DOUBLE) / CAST(rows_before AS
 FROM counts"""
 )
 def dq_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = plays(spark, sf_dir)
+    before = plays(spark, sf_dir, ("song",))
     return quality.fan_out(before, match(before, raw_songs(spark, sf_dir), [TITLE]))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.timeparts import epoch_ms
+from starloom.operators.rows import plays_only
 
 PLAY = "purchase"
 
@@ -66,27 +67,31 @@ def raw_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+SIDES = ("names", "song", "artist")
+
+
+def raw_events(spark: SparkSession, sf_dir: str, sides: tuple[str, ...] = SIDES) -> DataFrame:
     """The log in the staged columns, plus ``event_id``.
 
-    The joins only add columns to an event; a query that does not use a side's
-    columns is better off with :func:`events_only`.
+    ``sides`` names the tables that add columns to an event: the user's names,
+    the song's title, length and location, the artist.
     """
     events = events_only(spark, sf_dir)
     part = table(spark, sf_dir, "part")
-    song = part.select(
-        F.col("p_partkey").alias("_song"),
-        F.col("p_name").alias("song"),
-        F.col("p_retailprice").alias("length"),
-        F.col("p_type").alias("location"),
-    )
-    artist = part.select(F.col("p_partkey").alias("userId"), F.col("p_brand").alias("artist"))
-    return (
-        with_names(events, spark, sf_dir)
-        .join(song, "_song", "left")
-        .join(artist, "userId", "left")
-        .drop("_song")
-    )
+    if "names" in sides:
+        events = with_names(events, spark, sf_dir)
+    if "song" in sides:
+        song = part.select(
+            F.col("p_partkey").alias("_song"),
+            F.col("p_name").alias("song"),
+            F.col("p_retailprice").alias("length"),
+            F.col("p_type").alias("location"),
+        )
+        events = events.join(song, "_song", "left")
+    if "artist" in sides:
+        artist = part.select(F.col("p_partkey").alias("userId"), F.col("p_brand").alias("artist"))
+        events = events.join(artist, "userId", "left")
+    return events.drop("_song")
 
 
 def events_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +124,10 @@ def with_names(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame
     return events.join(users, "userId", "left")
 
 
-def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_events(spark, sf_dir).filter(F.col("page") == PLAY)
+def plays(
+    spark: SparkSession, sf_dir: str, sides: tuple[str, ...] = ("song", "artist")
+) -> DataFrame:
+    return plays_only(raw_events(spark, sf_dir, sides), PLAY)
 
 
 def listens(spark: SparkSession, sf_dir: str) -> DataFrame:

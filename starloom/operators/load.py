@@ -65,5 +65,7 @@ def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )

@@ -71,17 +71,53 @@ def match(
     if taken:
         raise ValueError(f"events already have {sorted(taken)}")
 
-    names = [f"_key{i}" for i in range(len(keys))]
+    names = _key_names(keys)
     left = events.withColumns({name: key.of_event() for name, key in zip(names, keys)})
-    right = catalogue.select(*[key.of_song().alias(name) for name, key in zip(names, keys)], *add)
-    right = with_keys(right, *names)
+    right = _song_side(catalogue, keys, add)
     if duplicates == "first":
         right = right.groupBy(*names).agg(F.min(F.struct(*add)).alias("_pick")).select(*names, "_pick.*")
+    return _joined(left, right, names, how, hot_share).select(*events.columns, *add)
+
+
+def distinct_matches(
+    events: DataFrame,
+    catalogue: DataFrame,
+    keys: Sequence[MatchKey],
+    columns: Sequence[str],
+    add: Sequence[str] = ("song_id", "artist_id"),
+    hot_share: float | None = None,
+) -> DataFrame:
+    """The distinct rows of ``columns`` and ``add`` that an inner :func:`match` gives.
+
+    Duplicates are removed on both sides, before the join repeats events for each
+    of their songs. A joined row can then only appear twice if the catalogue has
+    the same ``add`` values under several keys. That is looked up in the
+    catalogue; only if it is so must the joined rows be shuffled once more.
+    """
+    names = _key_names(keys)
+    left = events.select(*columns, *[key.of_event().alias(n) for n, key in zip(names, keys)]).distinct()
+    right = _song_side(catalogue, keys, add).distinct()
+    joined = _joined(left, right, names, "inner", hot_share).select(*columns, *add)
+    several = right.groupBy(*add).agg(F.count(F.lit(1)).alias("_keys")).filter(F.col("_keys") > 1)
+    return joined if several.isEmpty() else joined.distinct()
+
+
+def _key_names(keys: Sequence[MatchKey]) -> list[str]:
+    return [f"_key{i}" for i in range(len(keys))]
+
+
+def _song_side(catalogue: DataFrame, keys: Sequence[MatchKey], add: Sequence[str]) -> DataFrame:
+    names = _key_names(keys)
+    side = catalogue.select(*[key.of_song().alias(name) for name, key in zip(names, keys)], *add)
+    return with_keys(side, *names)
+
+
+def _joined(
+    left: DataFrame, right: DataFrame, names: list[str], how: str, hot_share: float | None
+) -> DataFrame:
     if hot_share is None:
-        joined = left.join(right, names, how)
-    else:
-        joined = join_spreading_hot_keys(left, right, names, how, hot_share)
-    return joined.select(*events.columns, *add)
+        return left.join(right, names, how)
+    return join_spreading_hot_keys(left, right, names, how, hot_share)
 
 
 def join_catalogue(songs: DataFrame, artists: DataFrame) -> DataFrame:

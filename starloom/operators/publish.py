@@ -30,6 +30,7 @@ class Published:
 
     versions: tuple[str, ...]
     schema: StructType
+    sequence: int
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
@@ -44,11 +45,13 @@ def _log(spark: SparkSession, root: str) -> DataFrame:
 def current(spark: SparkSession, root: str) -> dict[str, Published]:
     """The published state of every table."""
     latest = _log(spark, root).groupBy("table_name").agg(
-        F.max_by(F.struct("versions", "columns"), "sequence").alias("entry")
+        F.max(F.struct("sequence", "versions", "columns")).alias("entry")
     )
     return {
         row.table_name: Published(
-            tuple(row.entry.versions), StructType.fromJson(json.loads(row.entry.columns))
+            tuple(row.entry.versions),
+            StructType.fromJson(json.loads(row.entry.columns)),
+            row.entry.sequence,
         )
         for row in latest.collect()
     }
@@ -84,7 +87,7 @@ def publish(
     on) or ``append`` (this version joins those already published).
     """
     now = current(spark, root)
-    last = _log(spark, root).agg(F.coalesce(F.max("sequence"), F.lit(0))).first()[0]
+    number = 1 + max((entry.sequence for entry in now.values()), default=0)
     rows = []
     for table, mode in modes.items():
         if mode not in ("overwrite", "append"):
@@ -92,7 +95,7 @@ def publish(
         versions = [version]
         if mode == "append" and table in now:
             versions = [*(v for v in now[table].versions if v != version), version]
-        rows.append((last + 1, table, versions, schemas[table].json()))
+        rows.append((number, table, versions, schemas[table].json()))
     spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
 
 

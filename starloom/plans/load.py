@@ -50,41 +50,46 @@ def run(
     """
     version = version or uuid.uuid4().hex
     staging = f"{output}/_staging/{version}"
-    raw_songs = stage(
-        spark,
-        sources.songs,
-        f"{staging}/songs",
-        schemas.STAGED_SONG,
-        schemas.RAW_SONG,
-        fmt=sources.songs_format,
-        json_paths=sources.songs_json_paths,
-        glob=sources.glob,
-        on_reject=sources.on_reject,
-    ).rows
-    events = stage(
-        spark,
-        sources.events,
-        f"{staging}/events",
-        schemas.STAGED_EVENT,
-        schemas.RAW_EVENT,
-        fmt=sources.events_format,
-        json_paths=sources.events_json_paths,
-        glob=sources.glob,
-        on_reject=sources.on_reject,
-    ).rows
-
+    staged: dict[str, DataFrame] = {}
+
+    def stage_files(name: str, path: str, fmt: str, paths, typed, raw) -> None:
+        staged[name] = stage(
+            spark,
+            path,
+            f"{staging}/{name}",
+            typed,
+            raw,
+            fmt=fmt,
+            json_paths=paths,
+            glob=sources.glob,
+            on_reject=sources.on_reject,
+        ).rows
+
+    songs_from = (sources.songs, sources.songs_format, sources.songs_json_paths)
+    events_from = (sources.events, sources.events_format, sources.events_json_paths)
+    _together(
+        [
+            (stage_files, "songs", *songs_from, schemas.STAGED_SONG, schemas.RAW_SONG),
+            (stage_files, "events", *events_from, schemas.STAGED_EVENT, schemas.RAW_EVENT),
+        ]
+    )
+    raw_songs, events = staged["songs"], staged["events"]
     published = publish.current(spark, output)
+
+    def earlier(table: str) -> DataFrame:
+        state = published[table]
+        return publish.read_versions(spark, output, table, state.versions, state.schema)
+
     modes: dict[str, str] = {}
     stored: dict[str, DataFrame] = {}
 
     def write(table: str, df: DataFrame, number: str | None = None) -> None:
         mode = profile.load_modes.get(table, "overwrite")
         if table in published and mode in ("merge", "insert"):
-            earlier = publish.read_published(spark, output, table)
             if mode == "merge":
-                df = merge_upsert(earlier, df, PRIMARY_KEYS[table], MERGE_UPDATES[table])
+                df = merge_upsert(earlier(table), df, PRIMARY_KEYS[table], MERGE_UPDATES[table])
             else:
-                df = insert_absent(earlier, df, PRIMARY_KEYS[table])
+                df = insert_absent(earlier(table), df, PRIMARY_KEYS[table])
         stored[table] = publish.write_version(
             df, output, table, version, profile.partition_by.get(table, ()), number
         )
@@ -96,13 +101,11 @@ def run(
     for name in catalogue:
         catalogue[name] = stored[name]
         if modes[name] == "append" and name in published:
-            earlier = publish.read_published(spark, output, name)
-            catalogue[name] = earlier.unionByName(stored[name])
+            catalogue[name] = earlier(name).unionByName(stored[name])
 
     first_id = 1
     if profile.play_key == "dense" and "songplays" in published:
-        plays = publish.read_published(spark, output, "songplays")
-        first_id = (plays.agg(F.max("songplay_id")).first()[0] or 0) + 1
+        first_id = (earlier("songplays").agg(F.max("songplay_id")).first()[0] or 0) + 1
     if profile.play_key == "monotonic":
         unnumbered = replace(profile, play_key="none")
         songplays = build_songplays(events, raw_songs, catalogue, unnumbered)

@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from starloom.functions.keys import dense_key, hash_key, monotonic_key
 from starloom.functions.timeparts import start_time, time_parts
 from starloom.operators import dims
-from starloom.operators.match import join_catalogue, match
+from starloom.operators.match import distinct_matches, join_catalogue, match
 from starloom.operators.rows import distinct_rows, plays_only
 from starloom.plans.profiles import Profile
 
+# Of a play: what it brings itself, and what the fact stores.
+PLAY_VALUES = ("start_time", "user_id", "level", "session_id", "location", "user_agent")
+FACT_COLUMNS = (
+    "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"
+)
 PLAY_ORDER = ("start_time", "session_id", "_item", "song_id", "artist_id")
 
 
@@ -84,27 +89,28 @@ def build_songplays(
             songs = join_catalogue(songs, catalogue["artists"])
     else:
         songs = raw_songs
-    matched = match(
-        _plays(events, profile),
-        songs,
-        profile.match_keys,
-        profile.match_how,
-        profile.match_duplicates,
-        hot_share=profile.hot_share,
-    )
-    fact = matched.select(
+    plays = _plays(events, profile).select(
         start_time("ts", profile.whole_seconds).alias("start_time"),
         F.col("userId").alias("user_id"),
         "level",
-        "song_id",
-        "artist_id",
         F.col("sessionId").alias("session_id"),
         "location",
         F.col("userAgent").alias("user_agent"),
         F.col("itemInSession").alias("_item"),
+        *[key.event for key in profile.match_keys],
     )
+    how, share = profile.match_how, profile.hot_share
+    if profile.dedup_fact and how == "inner" and profile.match_duplicates == "all":
+        fact = distinct_matches(plays, songs, profile.match_keys, PLAY_VALUES, hot_share=share)
+    else:
+        fact = match(
+            plays, songs, profile.match_keys, how, profile.match_duplicates, hot_share=share
+        )
+        if profile.dedup_fact:
+            fact = distinct_rows(fact.select(*PLAY_VALUES, "song_id", "artist_id"))
     if profile.dedup_fact:
-        fact = distinct_rows(fact.drop("_item")).withColumn("_item", F.lit(0))
+        fact = fact.withColumn("_item", F.lit(0))
+    fact = fact.select(*FACT_COLUMNS, "_item")
     if profile.play_key == "dense":
         order = PLAY_ORDER if profile.numbered_in_order else ()
         keyed = dense_key(fact, order, "songplay_id", first_id)

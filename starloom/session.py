@@ -23,3 +23,13 @@ def build_session(app_name: str = "starloom", master: str | None = None, **conf:
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shuffle_partitions(shuffled_bytes: int, bytes_per_task: int = 128 * 1024 * 1024) -> int:
+    """How many partitions the largest shuffle of a job needs.
+
+    Set it as ``spark.sql.shuffle.partitions``, or as the initial number for
+    adaptive execution, which joins partitions that turn out small but does not
+    split evenly large ones.
+    """
+    return max(1, -(-shuffled_bytes // bytes_per_task))

@@ -13,11 +13,11 @@ from starloom.operators.match import (
     ROUNDED_LENGTH,
     TITLE,
     WHOLE_LENGTH,
+    distinct_matches,
     join_catalogue,
     join_time,
     match,
 )
-from starloom.operators.rows import distinct_rows
 from starloom.operators.star import Dimension, star_join
 from starloom.workloads.registry import query
 from starloom.workloads.standin import (
@@ -160,8 +160,8 @@ SELECT DISTINCT userid AS user_id, level, song_id, artist_id
 FROM plays JOIN songs ON song = title"""
 )
 def fact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = match(plays(spark, sf_dir, ("song",)), raw_songs(spark, sf_dir), [TITLE])
-    return distinct_rows(rows.select(F.col("userId").alias("user_id"), "level", "song_id", "artist_id"))
+    played = plays(spark, sf_dir, ("song",)).withColumnRenamed("userId", "user_id")
+    return distinct_matches(played, raw_songs(spark, sf_dir), [TITLE], ["user_id", "level"])
 
 
 @query(

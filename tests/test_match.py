@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.operators import dims
 from starloom.operators.match import (
@@ -7,6 +8,7 @@ from starloom.operators.match import (
     ROUNDED_LENGTH,
     TITLE,
     WHOLE_LENGTH,
+    distinct_matches,
     join_catalogue,
     join_time,
     match,
@@ -130,6 +132,21 @@ def test_spreading_matches_like_no_spreading(plays, raw_songs):
         assert rows_of(spread) == rows_of(plain)
 
 
+@pytest.mark.parametrize("keys", [[TITLE], [TITLE, WHOLE_LENGTH]])
+@pytest.mark.parametrize("twice", [False, True])
+def test_distinct_matches(spark, plays, raw_songs, keys, twice):
+    """Also where one song is listed under two titles that one user played."""
+    songs = raw_songs
+    if twice:
+        beta = raw_songs.filter("title = 'Beta'").withColumn("song_id", F.lit("S1"))
+        songs = songs.unionByName(beta.withColumn("artist_id", F.lit("A1"))).unionByName(raw_songs)
+    plain = match(plays, songs, keys).select("userId", "sessionId", "song_id", "artist_id").distinct()
+    less = match(plays, songs, keys).select("userId", "song_id", "artist_id").distinct()
+    by_session = distinct_matches(plays, songs, keys, ["userId", "sessionId"])
+    assert rows_of(by_session) == rows_of(plain)
+    assert rows_of(distinct_matches(plays, songs, keys, ["userId"])) == rows_of(less)
+
+
 def test_large_sides_are_not_broadcast(spark, plays, raw_songs):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:

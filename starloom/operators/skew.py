@@ -49,8 +49,12 @@ def join_spreading_hot_keys(
         raise ValueError("how is 'inner' or 'left'")
     hot = F.broadcast(hot_keys(left, keys, share).withColumn("_hot", F.lit(True)))
     slot = F.pmod(F.xxhash64(*[F.col(name) for name in left.columns]), F.lit(spread)).cast("int")
+    # Rows without a key match nothing and may go anywhere.
+    scattered = F.col("_hot")
+    for key in keys:
+        scattered = scattered | F.col(key).isNull()
     dealt = left.join(hot, list(keys), "left").withColumn(
-        "_slot", F.when(F.col("_hot"), slot).otherwise(F.lit(0))
+        "_slot", F.when(scattered, slot).otherwise(F.lit(0))
     )
     slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
     copied = right.join(hot, list(keys), "left").withColumn("_slot", F.explode(slots))

@@ -1,4 +1,4 @@
-from starloom.plans.load import Sources, labelled, read_table, run
+from starloom.plans.load import Sources, create_views, labelled, read_table, run
 from starloom.plans.lookups import load_lookups, stage_listens
 from starloom.plans.profiles import LAKE, PROFILES, STAGED_INNER, STAGED_LEFT, UPSERT, Profile
 from starloom.plans.star import build_catalogue, build_plays, build_songplays, build_time, build_users
@@ -16,6 +16,7 @@ __all__ = [
     "build_songplays",
     "build_time",
     "build_users",
+    "create_views",
     "labelled",
     "load_lookups",
     "read_table",

@@ -136,6 +136,17 @@ def read_table(spark: SparkSession, output: str, table: str) -> DataFrame:
     return publish.read_published(spark, output, table)
 
 
+def create_views(spark: SparkSession, output: str, profile: Profile | None = None) -> list[str]:
+    """Temporary views of all published tables, for SQL; with the profile's headings if given."""
+    published = publish.current(spark, output)
+    for name, state in published.items():
+        rows = publish.read_versions(spark, output, name, state.versions, state.schema)
+        if profile:
+            rows = labelled(rows, name, profile)
+        rows.createOrReplaceTempView(name)
+    return sorted(published)
+
+
 def labelled(df: DataFrame, table: str, profile: Profile) -> DataFrame:
     """``df`` under the profile's own column headings."""
     return df.withColumnsRenamed(dict(profile.labels.get(table, {})))

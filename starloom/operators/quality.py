@@ -60,6 +60,13 @@ def check_not_empty(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def require_not_empty(tables: Mapping[str, DataFrame]) -> None:
+    """Raise naming the tables without rows; each is read only up to its first row."""
+    empty = sorted(name for name, df in tables.items() if df.isEmpty())
+    if empty:
+        raise QualityError(f"no rows in {', '.join(empty)}")
+
+
 def check_not_null(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """No NULL in the given columns; all are counted in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -119,7 +119,7 @@ def run(
         ]
     )
     if profile.check:
-        quality.require(quality.check_not_empty(stored))
+        quality.require_not_empty(stored)
     publish.publish(spark, output, version, modes, {name: df.schema for name, df in stored.items()})
     return version
 

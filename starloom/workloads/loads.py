@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampNTZType
 
 from starloom import plans, schemas
-from starloom.functions import epoch_ms
+from starloom.functions import epoch_ms, start_time
 from starloom.operators import quality
 from starloom.plans import Profile, Sources, build_catalogue
 from starloom.sources import conform
@@ -246,7 +246,7 @@ def load_staged_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BOTH_SQL} {UPSERTED_USERS}")
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users after four batches, the first two of them compacted."""
+    """Users after four loads, the first two of them compacted."""
     star = incremental_star(spark, sf_dir)
     star.compact_users(spark, through=1)
     return star.users(spark)
@@ -259,7 +259,7 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plays and times after four batches."""
+    """Plays and times after four loads."""
     star = incremental_star(spark, sf_dir)
     return quality.report(
         [checksum("songplays", star.songplays(spark)), checksum("time", star.time(spark))]
@@ -267,21 +267,19 @@ def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_star(spark: SparkSession, sf_dir: str) -> IncrementalStar:
-    """The log written as four files and loaded one file per batch."""
+    """The log arriving in four parts of about a week, each followed by a load."""
     profile = replace(plans.STAGED_LEFT, play_page=PLAY)
     source, root = new_path(spark, "arriving"), new_path(spark, "incremental")
-    events = conform(raw_events(spark, sf_dir), schemas.STAGED_EVENT)
-    events.repartition(4, "ts").write.parquet(source)
+    checkpoint = new_path(spark, "stream")
     star = IncrementalStar(root, profile, schemas.STAGED_EVENT)
     songs = raw_songs(spark, sf_dir)
-    load_available(
-        spark,
-        source,
-        schemas.STAGED_EVENT,
-        new_path(spark, "stream"),
-        star.loader(songs, build_catalogue(songs, profile)),
-        fmt="parquet",
-        max_files=1,
-        glob="*.parquet",
-    )
+    apply_batch = star.loader(songs, build_catalogue(songs, profile))
+    events = raw_events(spark, sf_dir)
+    week = F.floor((F.dayofmonth(start_time("ts")) - 1) / 8)
+    for part in range(4):
+        arrived = conform(events.filter(week == part), schemas.STAGED_EVENT)
+        arrived.write.mode("append").parquet(source)
+        load_available(
+            spark, source, schemas.STAGED_EVENT, checkpoint, apply_batch, fmt="parquet", glob="*.parquet"
+        )
     return star

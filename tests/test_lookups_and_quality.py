@@ -127,8 +127,11 @@ def test_not_empty(frames):
     assert found == {("users", ""): (0, True), ("plays", ""): (0, True), ("none", ""): (1, False)}
     with pytest.raises(quality.QualityError, match="none: not_empty"):
         quality.require(quality.check_not_empty(frames))
+    with pytest.raises(quality.QualityError, match="no rows in none"):
+        quality.require_not_empty(frames)
     passing = {n: df for n, df in frames.items() if n != "none"}
     quality.require(quality.check_not_empty(passing))
+    quality.require_not_empty(passing)
 
 
 def test_not_null(frames):

@@ -151,6 +151,8 @@ def check_table(table: Table, frames: Mapping[str, DataFrame]) -> DataFrame:
         parts.append(check_not_null(table.name, df, table.required))
     if table.primary_key:
         parts.append(check_unique(table.name, df, table.primary_key))
+    if table.longest:
+        parts.append(check_lengths(table.name, df, table.longest))
     for key in table.foreign_keys:
         if key.table in frames:
             parts.append(check_foreign_key(table.name, df, frames[key.table], key))

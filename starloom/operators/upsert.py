@@ -72,8 +72,18 @@ def upsert_rows(
     return rows_of(upsert_state(df, keys, keep, update, order), keys, keep, update)
 
 
-def insert_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``incoming`` (one per key) whose key ``existing`` does not have."""
+def insert_absent(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], within: str | None = None
+) -> DataFrame:
+    """The rows of ``incoming`` (one per key) whose key ``existing`` does not have.
+
+    ``within`` names a key column that loads fill in roughly ascending order, such
+    as a time: only the part of ``existing`` between the smallest and the largest
+    incoming value is then read and compared.
+    """
+    if within:
+        low, high = incoming.agg(F.min(within), F.max(within)).first()
+        existing = existing.filter(F.col(within).between(low, high))
     return incoming.join(existing.select(*keys), list(keys), "left_anti").select(*incoming.columns)
 
 

@@ -80,6 +80,12 @@ def run(
         state = published[table]
         return publish.read_versions(spark, output, table, state.versions, state.schema)
 
+    def whole(table: str) -> DataFrame:
+        """The table as readers will see it."""
+        if modes[table] == "append" and table in published:
+            return earlier(table).unionByName(stored[table])
+        return stored[table]
+
     modes: dict[str, str] = {}
     stored: dict[str, DataFrame] = {}
 
@@ -89,7 +95,8 @@ def run(
             if mode == "merge":
                 df = merge_upsert(earlier(table), df, PRIMARY_KEYS[table], MERGE_UPDATES[table])
             else:
-                df = insert_absent(earlier(table), df, PRIMARY_KEYS[table])
+                within = "start_time" if table == "time" else None
+                df = insert_absent(earlier(table), df, PRIMARY_KEYS[table], within)
         stored[table] = publish.write_version(
             df, output, table, version, profile.partition_by.get(table, ()), number
         )
@@ -98,14 +105,11 @@ def run(
     catalogue = build_catalogue(raw_songs, profile)
     _together([(write, name, df) for name, df in catalogue.items()])
     # Plays are matched against the songs of earlier loads too, where those stay.
-    for name in catalogue:
-        catalogue[name] = stored[name]
-        if modes[name] == "append" and name in published:
-            catalogue[name] = earlier(name).unionByName(stored[name])
+    catalogue = {name: whole(name) for name in catalogue}
 
     first_id = 1
     if profile.play_key == "dense" and "songplays" in published:
-        first_id = (earlier("songplays").agg(F.max("songplay_id")).first()[0] or 0) + 1
+        first_id = 1 + _last_id(spark, output, published["songplays"])
     if profile.play_key == "monotonic":
         unnumbered = replace(profile, play_key="none")
         songplays = build_songplays(events, raw_songs, catalogue, unnumbered)
@@ -120,10 +124,25 @@ def run(
     )
     if profile.check:
         quality.require_not_empty(stored)
+    if profile.enforce:
+        frames = {name: whole(name) for name in stored}
+        checks = [quality.check_table(table, frames) for table in schemas.STAR]
+        quality.require(quality.report(checks))
     publish.publish(spark, output, version, modes, {name: df.schema for name, df in stored.items()})
     return version
 
 
+def _last_id(spark: SparkSession, output: str, plays: publish.Published) -> int:
+    """The largest key given so far. Keys grow from version to version, so the
+    last version with any rows has it."""
+    for version in reversed(plays.versions):
+        rows = publish.read_versions(spark, output, "songplays", [version], plays.schema)
+        largest = rows.agg(F.max("songplay_id")).first()[0]
+        if largest is not None:
+            return largest
+    return 0
+
+
 def _together(jobs: Sequence[tuple]) -> None:
     """Run independent writes at the same time; the first failure is raised."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:

@@ -51,7 +51,8 @@ class Profile:
     # Storage
     load_modes: Mapping[str, str] = field(default_factory=dict)  # overwrite unless named
     partition_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
-    check: bool = False
+    check: bool = False  # every table must have rows
+    enforce: bool = False  # the registry's required columns, unique and foreign keys hold
 
     # Column headings other than the registry's, for readers that expect them
     labels: Mapping[str, Mapping[str, str]] = field(default_factory=dict)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql.types import (
     DataType,
@@ -134,13 +135,14 @@ class ForeignKey:
 
 @dataclass(frozen=True)
 class Table:
-    """One stored table. ``required`` columns must not be NULL."""
+    """One stored table. ``required`` columns must not be NULL, texts no longer than ``longest``."""
 
     name: str
     schema: StructType
     primary_key: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = ()
+    longest: Mapping[str, int] = field(default_factory=dict)
 
 
 USERS = Table(
@@ -195,7 +197,7 @@ SONGPLAYS = Table(
     ),
 )
 
-STAGING_EVENTS = Table("staging_events", STAGED_EVENT)
+STAGING_EVENTS = Table("staging_events", STAGED_EVENT, longest={"gender": 1, "method": 3})
 STAGING_SONGS = Table("staging_songs", STAGED_SONG)
 
 ARTIST_SONG_LOOKUP = Table(

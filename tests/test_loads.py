@@ -105,6 +105,41 @@ def test_staged_left(spark, tmp_path, raw_files):
     assert {int(r.duration) for r in songs.collect()} == {218, 100, 55, 10}
 
 
+def test_numbers_go_on_after_an_empty_load(spark, tmp_path, raw_files):
+    output = str(tmp_path / "star")
+    spark.createDataFrame([], schemas.RAW_EVENT).write.json(str(tmp_path / "nothing"))
+    empty = replace(raw_files, events=str(tmp_path / "nothing"))
+    for sources in (raw_files, empty, raw_files):
+        plans.run(spark, sources, output, plans.UPSERT)
+    ids = [r.songplay_id for r in plans.read_table(spark, output, "songplays").collect()]
+    assert sorted(ids) == list(range(1, 11))
+    assert counts(spark, output)["time"] == 5
+
+
+def test_constraints_can_be_enforced(spark, tmp_path, raw_files, raw_songs):
+    strict = replace(plans.UPSERT, enforce=True)
+    with pytest.raises(quality.QualityError, match=r"songs: not_null year \(1\)"):
+        plans.run(spark, raw_files, str(tmp_path / "star"), strict)
+    raw_songs.filter("year IS NOT NULL").write.json(str(tmp_path / "dated"))
+    dated = replace(raw_files, songs=str(tmp_path / "dated"))
+    for _ in range(2):
+        plans.run(spark, dated, str(tmp_path / "star"), strict)
+    # Users of several rows break the users' key, as does a hash that collides.
+    with pytest.raises(quality.QualityError, match="users: unique_key user_id"):
+        plans.run(spark, dated, str(tmp_path / "other"), replace(plans.STAGED_LEFT, enforce=True))
+
+
+def test_songs_by_year_and_artist(spark, tmp_path, raw_files):
+    layout = {"songs": ("year", "artist_id")}
+    output = str(tmp_path / "star")
+    version = plans.run(spark, raw_files, output, replace(plans.LAKE, partition_by=layout))
+    assert (tmp_path / "star" / "songs" / f"version={version}" / "year=1999" / "artist_id=A1").is_dir()
+    songs = plans.read_table(spark, output, "songs")
+    assert songs.columns == schemas.SONGS.schema.names
+    assert songs.filter("year IS NULL AND artist_id = 'A3'").count() == 1
+    assert songs.filter("title = 'Alpha'").count() == 3
+
+
 def test_star_retrieval_in_sql(spark, tmp_path, raw_files):
     output = str(tmp_path / "star")
     plans.run(spark, raw_files, output, plans.UPSERT)

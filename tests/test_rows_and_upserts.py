@@ -135,3 +135,5 @@ def test_update_to_null_is_an_update(spark, existing):
 
 def test_insert_if_absent(existing, incoming):
     assert rows_of(insert_absent(existing, incoming, ["id"])) == [(3, "three", "paid")]
+    assert rows_of(insert_absent(existing, incoming, ["id"], within="id")) == [(3, "three", "paid")]
+    assert insert_absent(existing, incoming.filter("false"), ["id"], within="id").count() == 0

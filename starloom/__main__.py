@@ -17,6 +17,7 @@ def arguments() -> argparse.Namespace:
     load.add_argument("--events", required=True, help="folder of log files")
     load.add_argument("--output", required=True, help="folder of the star tables")
     load.add_argument("--profile", required=True, choices=sorted(plans.PROFILES))
+    load.add_argument("--events-json-paths", help="mapping file for the log's fields")
     load.add_argument("--on-reject", default="quarantine", choices=["quarantine", "fail"])
 
     lookups = commands.add_parser("lookups", help="CSV logs to lookup tables")
@@ -29,7 +30,12 @@ def main() -> None:
     chosen = arguments()
     spark = build_session()
     if chosen.command == "load":
-        sources = plans.Sources(chosen.songs, chosen.events, on_reject=chosen.on_reject)
+        sources = plans.Sources(
+            chosen.songs,
+            chosen.events,
+            events_json_paths=chosen.events_json_paths,
+            on_reject=chosen.on_reject,
+        )
         plans.run(spark, sources, chosen.output, plans.PROFILES[chosen.profile])
     else:
         staged = plans.stage_listens(spark, chosen.events, f"{chosen.output}/_staging")

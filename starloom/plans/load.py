@@ -29,8 +29,8 @@ class Sources:
     events: str
     songs_format: str = "json"
     events_format: str = "json"
-    songs_json_paths: Sequence[str] | None = None
-    events_json_paths: Sequence[str] | None = None
+    songs_json_paths: Sequence[str] | str | None = None
+    events_json_paths: Sequence[str] | str | None = None
     glob: str | None = "*.json"
     on_reject: str = "quarantine"
 

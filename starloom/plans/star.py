@@ -32,8 +32,7 @@ def build_catalogue(raw_songs: DataFrame, profile: Profile) -> dict[str, DataFra
     if profile.scaled_in_staging:
         scales = duration | _scales(profile, "artist_")
         raw_songs = dims.with_scales(raw_songs, scales, profile.rounding)
-    if profile.dedup_raw:
-        raw_songs = distinct_rows(raw_songs)
+    # Repeated raw rows change none of these, so they are not looked for.
     if profile.songs == "first":
         songs = dims.songs_first(raw_songs)
     else:
@@ -48,13 +47,7 @@ def build_catalogue(raw_songs: DataFrame, profile: Profile) -> dict[str, DataFra
     return {"songs": songs, "artists": artists}
 
 
-def _plays(events: DataFrame, profile: Profile) -> DataFrame:
-    plays = plays_only(events, profile.play_page)
-    return distinct_rows(plays) if profile.dedup_raw else plays
-
-
 def build_users(events: DataFrame, profile: Profile) -> DataFrame:
-    # Distinct users do not depend on whether repeated events were removed.
     plays = plays_only(events, profile.play_page)
     if profile.users == "upsert":
         return dims.users_upsert(plays)
@@ -89,7 +82,13 @@ def build_songplays(
             songs = join_catalogue(songs, catalogue["artists"])
     else:
         songs = raw_songs
-    plays = _plays(events, profile).select(
+    plays = plays_only(events, profile.play_page)
+    if profile.dedup_raw and not profile.dedup_fact:
+        # Otherwise the fact's own duplicate removal covers it, on fewer columns.
+        plays = distinct_rows(plays)
+        if profile.match_against == "raw":
+            songs = distinct_rows(songs)
+    plays = plays.select(
         start_time("ts", profile.whole_seconds).alias("start_time"),
         F.col("userId").alias("user_id"),
         "level",

@@ -1,13 +1,16 @@
 from starloom.sources.convert import conform, convert
 from starloom.sources.files import file_count, preview, scan_csv, scan_json, scan_parquet
-from starloom.sources.staging import Staged, stage
+from starloom.sources.staging import Staged, by_json_paths, read_json_paths, read_staged, stage
 
 __all__ = [
     "Staged",
+    "by_json_paths",
     "conform",
     "convert",
     "file_count",
     "preview",
+    "read_json_paths",
+    "read_staged",
     "scan_csv",
     "scan_json",
     "scan_parquet",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -32,7 +33,7 @@ def stage(
     schema: StructType,
     raw_schema: StructType | None = None,
     fmt: str = "json",
-    json_paths: Sequence[str] | None = None,
+    json_paths: Sequence[str] | str | None = None,
     glob: str | None = None,
     quoted_newlines: bool = True,
     on_reject: str = "quarantine",
@@ -40,7 +41,8 @@ def stage(
     """Load the files below ``source`` into the staging table ``target``.
 
     ``fmt`` is ``json``, ``csv`` or ``parquet``. JSON fields are matched by name,
-    or by ``json_paths``, one path per column of ``schema`` in its order.
+    or by ``json_paths``, one path per column of ``schema`` in its order, given as
+    a list or as the path of a mapping file.
     ``raw_schema`` declares the kinds in the files where they differ from
     ``schema``. The files are parsed once; unreadable lines land in a partition
     of their own, or end the load with ``on_reject="fail"``.
@@ -52,6 +54,8 @@ def stage(
         lines = spark.read.option("recursiveFileLookup", "true")
         if glob:
             lines = lines.option("pathGlobFilter", glob)
+        if isinstance(json_paths, str):
+            json_paths = read_json_paths(spark, json_paths)
         written = lines.text(source).filter(F.trim("value") != "")
         parsed = by_json_paths(written, schema, json_paths)
     elif fmt == "json":
@@ -83,6 +87,12 @@ def read_staged(spark: SparkSession, target: str, schema: StructType) -> Staged:
     )
 
 
+def read_json_paths(spark: SparkSession, path: str) -> list[str]:
+    """The paths in a mapping file: ``{"jsonpaths": ["$.first", "$['second']", ...]}``."""
+    text = spark.read.option("wholetext", "true").text(path).first()[0]
+    return json.loads(text)["jsonpaths"]
+
+
 def by_json_paths(
     lines: DataFrame, schema: StructType, json_paths: Sequence[str], value: str = "value"
 ) -> DataFrame:

@@ -119,8 +119,7 @@ def dim_artists_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
 SELECT event_id, user_number FROM (
-  SELECT event_id, TRY_CAST(nullif(CASE WHEN event_type = 'error' THEN '' ELSE CAST(user_id AS VARCHAR) END, '') AS BIGINT)
-         AS user_number FROM events
+  SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS user_number FROM events
 ) WHERE user_number IS NOT NULL"""
 )
 def dim_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,15 @@ from starloom import schemas
 from starloom.operators import publish, tables
 from starloom.operators.load import append_fact, load_dim, write_quoted_csv, write_table
 from starloom.schemas import Table, columns
-from starloom.sources import file_count, scan_csv, scan_json, scan_parquet, stage
-from starloom.sources.staging import by_json_paths
+from starloom.sources import (
+    by_json_paths,
+    conform,
+    file_count,
+    scan_csv,
+    scan_json,
+    scan_parquet,
+    stage,
+)
 from starloom.storage import new_path
 from starloom.workloads.registry import query
 from starloom.workloads.standin import table
@@ -117,8 +124,6 @@ FROM part"""
 )
 def stage_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text that is no number becomes NULL; a fraction in a whole-number column is cut."""
-    from starloom.sources import conform
-
     part = table(spark, sf_dir, "part").select(
         "p_partkey",
         F.col("p_name").alias("name_number"),

@@ -98,8 +98,8 @@ UPSERTED_USERS = (
     f"min(gender) AS gender, {LAST_LEVEL} FROM plays GROUP BY userid"
 )
 DISTINCT_USERS = (
-    "SELECT DISTINCT userid AS user_id, firstname AS first_name, lastname AS last_name, gender, level "
-    "FROM plays"
+    "SELECT DISTINCT userid AS user_id, firstname AS first_name, lastname AS last_name, "
+    "gender, level FROM plays"
 )
 PLAY_VALUES = (
     "userid AS user_id, level, song_id, artist_id, sessionid AS session_id, location, "
@@ -213,8 +213,8 @@ def load_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STAGED_LEFT_PLAYS = f"""
-SELECT md5(CAST(sessionid AS VARCHAR) || strftime(make_timestamp((ts // 1000) * 1000000), '%Y-%m-%d %H:%M:%S'))
-       AS songplay_id, {SECONDS}, {PLAY_VALUES}
+SELECT md5(CAST(sessionid AS VARCHAR)
+           || strftime(make_timestamp((ts // 1000) * 1000000), '%Y-%m-%d %H:%M:%S')) AS songplay_id, {SECONDS}, {PLAY_VALUES}
 FROM plays LEFT JOIN songs
   ON song = title AND artist = artist_name AND floor(length) = floor(duration)"""
 STAGED_LEFT_TIME = f"""

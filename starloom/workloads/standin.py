@@ -133,7 +133,13 @@ def plays(
 def listens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines in the columns of the staged listening file, plus what orders them."""
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate"
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "l_extendedprice",
+        "l_returnflag",
+        "l_shipdate",
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     users = table(spark, sf_dir, "customer").select(

@@ -1,5 +1,6 @@
 """Whole loads over the fixture, their second run, and the incremental load."""
 
+import json
 from dataclasses import replace
 
 import pytest
@@ -85,6 +86,23 @@ def test_lake(spark, tmp_path, raw_files):
     assert users.columns == ["userId", "firstName", "lastName", "gender", "level"]
 
 
+def test_repeated_files_change_nothing_where_raw_rows_are_distinct(spark, tmp_path, raw_files):
+    twice = str(tmp_path / "twice")
+    for _ in range(2):
+        spark.read.schema(schemas.RAW_EVENT).option("recursiveFileLookup", "true").json(
+            raw_files.events
+        ).write.mode("append").json(twice)
+    expected = [
+        (plans.LAKE, {"songplays": 10, "users": 3, "time": 5}),
+        (replace(plans.LAKE, dedup_fact=False), {"songplays": 10, "users": 3, "time": 5}),
+        (replace(plans.LAKE, dedup_fact=False, dedup_raw=False), {"songplays": 20, "users": 3, "time": 5}),
+    ]
+    for i, (profile, rows) in enumerate(expected):
+        output = str(tmp_path / f"star{i}")
+        plans.run(spark, replace(raw_files, events=twice), output, profile)
+        assert {name: counts(spark, output)[name] for name in rows} == rows
+
+
 def test_staged_left(spark, tmp_path, raw_files):
     output = str(tmp_path / "star")
     for _ in range(2):
@@ -190,7 +208,9 @@ def test_json_paths_load_like_names(spark, tmp_path, raw_files):
     by_name, by_path = str(tmp_path / "a"), str(tmp_path / "b")
     paths = [f"$.{name}" for name in schemas.STAGED_EVENT.names]
     plans.run(spark, raw_files, by_name, plans.STAGED_LEFT)
-    plans.run(spark, replace(raw_files, events_json_paths=paths), by_path, plans.STAGED_LEFT)
+    mapping = tmp_path / "paths.txt"
+    mapping.write_text(json.dumps({"jsonpaths": paths}, indent=2))
+    plans.run(spark, replace(raw_files, events_json_paths=str(mapping)), by_path, plans.STAGED_LEFT)
     for name in TABLES:
         assert rows_of(plans.read_table(spark, by_name, name)) == rows_of(
             plans.read_table(spark, by_path, name)

@@ -89,7 +89,7 @@ def read_staged(spark: SparkSession, target: str, schema: StructType) -> Staged:
 
 def read_json_paths(spark: SparkSession, path: str) -> list[str]:
     """The paths in a mapping file: ``{"jsonpaths": ["$.first", "$['second']", ...]}``."""
-    text = spark.read.option("wholetext", "true").text(path).first()[0]
+    text = spark.read.text(path, wholetext=True).first()[0]
     return json.loads(text)["jsonpaths"]
 
 

@@ -45,8 +45,12 @@ def dense_key(
     stored table, which bounds the side that is broadcast. Without an order rows
     are stored as they come, and nothing is shuffled.
     """
+    columns = df.columns
     if order:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        # Rows that tie, however many, may fall into several ranges.
+        parted = df.withColumn("_origin", F.spark_partition_id())
+        ranged = parted.repartitionByRange(*order, "_origin")
+        df = ranged.sortWithinPartitions(*order, "_origin").drop("_origin")
     stored = materialize(df.withColumn("_mark", F.monotonically_increasing_id()), "dense-key")
     stored = stored.withColumn("_range", F.shiftright("_mark", ROW_BITS))
 
@@ -58,5 +62,5 @@ def dense_key(
     )
     position = F.col("_mark").bitwiseAND(F.lit(ROW_MASK))
     return stored.join(F.broadcast(offsets), "_range").select(
-        (position + F.col("_offset") + F.lit(start)).alias(name), *df.columns
+        (position + F.col("_offset") + F.lit(start)).alias(name), *columns
     )

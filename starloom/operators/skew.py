@@ -42,13 +42,15 @@ def join_spreading_hot_keys(
     single. ``how`` is ``inner`` or ``left``. The hot keys number at most
     ``1 / share``, so they are broadcast and collected safely.
 
-    The partition follows from the row's values and so stays the same when a
-    lost task runs again. Rows that agree in every column stay together.
+    The partition follows from the row's values and the input partition it is in,
+    so it stays the same when a lost task runs again, and copies of one row are
+    dealt out too.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
     hot = F.broadcast(hot_keys(left, keys, share).withColumn("_hot", F.lit(True)))
-    slot = F.pmod(F.xxhash64(*[F.col(name) for name in left.columns]), F.lit(spread)).cast("int")
+    place = F.xxhash64(*[F.col(name) for name in left.columns], F.spark_partition_id())
+    slot = F.pmod(place, F.lit(spread)).cast("int")
     # Rows without a key match nothing and may go anywhere.
     scattered = F.col("_hot")
     for key in keys:

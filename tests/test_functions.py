@@ -12,8 +12,10 @@ from starloom.functions import (
     time_parts,
     weekday,
 )
+from starloom.functions import keys
 from starloom.operators import dims
 from starloom.operators.load import write_table
+from starloom.storage import materialize
 from tests.conftest import plan_of, rows_of
 
 
@@ -141,10 +143,17 @@ def test_dense_keys_without_an_order_need_no_shuffle(spark):
     assert dense_key(df.filter("id < 0")).count() == 0
 
 
-def test_dense_keys_cope_with_one_value_everywhere(spark):
-    df = spark.range(500).selectExpr("id", "1 AS place")
-    keyed = dense_key(df, ["place", "id"]).collect()
-    assert sorted(r.songplay_id for r in keyed) == list(range(1, 501))
+def test_dense_keys_of_copies(spark, monkeypatch):
+    """A third of the rows are equal; they get different numbers and several tasks."""
+    kept = []
+    monkeypatch.setattr(keys, "materialize", lambda df, label: kept.append(materialize(df, label)) or kept[0])
+    df = spark.range(0, 900, 1, 9).selectExpr("IF(id % 3 = 0, 500, id) AS place", "'x' AS name")
+    keyed = dense_key(df, ["place"])
+    rows = sorted(tuple(r) for r in keyed.collect())
+    assert [r[0] for r in rows] == list(range(1, 901))
+    assert [r[1] for r in rows] == sorted(r[1] for r in rows)
+    files = kept[0].filter("place = 500").selectExpr("input_file_name() AS f").distinct()
+    assert files.count() > 1
 
 
 def test_written_numbers_are_unique(spark, tmp_path):

@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starloom.operators import dims
@@ -112,6 +114,62 @@ def test_spread_join_equals_plain_join(skewed, how):
     assert rows_of(spread.select("k", "id", "r")) == rows_of(plain.select("k", "id", "r"))
 
 
+def test_spread_join_deals_copies_out(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(0, 300, 1, 10).selectExpr("IF(id < 200, 'hot', 'k') AS k", "1 AS v")
+        right = spark.sql("SELECT 'hot' AS k, 1 AS r")
+        spread = join_spreading_hot_keys(left, right, ["k"], share=0.5, spread=16)
+        used = spread.selectExpr("spark_partition_id() AS p").distinct().count()
+        assert spread.count() == 200 and used > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+TEXTS = st.one_of(st.none(), st.sampled_from(["a", "b", ""]))
+LENGTHS = st.one_of(st.none(), st.sampled_from([1.0, 1.4, 1.5, 2.0, 2.49]))
+
+
+def comparable(length, key):
+    if length is None:
+        return None
+    if key is LENGTH:
+        return round(length, 5)
+    return int(length) if key is WHOLE_LENGTH else int(length + 0.5)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.tuples(TEXTS, TEXTS, LENGTHS), max_size=8),
+    st.lists(st.tuples(TEXTS, TEXTS, LENGTHS, st.integers(0, 3)), max_size=8),
+    st.sampled_from([LENGTH, WHOLE_LENGTH, ROUNDED_LENGTH]),
+    st.sampled_from(["inner", "left"]),
+    st.sampled_from(["all", "first"]),
+)
+def test_match_against_brute_force(spark, played, listed, length, how, duplicates):
+    expected = []
+    for number, (song, artist, seconds) in enumerate(played):
+        mine = (song, artist, comparable(seconds, length))
+        hits = sorted(
+            i for t, a, d, i in listed if None not in mine and mine == (t, a, comparable(d, length))
+        )
+        if duplicates == "first":
+            hits = hits[:1]
+        expected += [(number, hit) for hit in hits]
+        if not hits and how == "left":
+            expected.append((number, None))
+    events = spark.createDataFrame(
+        [(n, *row) for n, row in enumerate(played)], "n int, song string, artist string, length double"
+    )
+    songs = spark.createDataFrame(
+        listed, "title string, artist_name string, duration double, song_id int"
+    )
+    found = match(events, songs, [TITLE, ARTIST, length], how, duplicates, add=["song_id"])
+    assert rows_of(found.select("n", "song_id")) == sorted(expected, key=repr)
+
+
 def test_spread_join_deals_the_hot_key_over_partitions(spark, skewed):
     left, right = skewed
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)

@@ -51,11 +51,18 @@ def load_available(
     query.awaitTermination()
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> DataFrame:
-    """Store one batch's rows; a batch that comes again replaces itself."""
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, reader: SparkSession | None = None
+) -> DataFrame:
+    """Store one batch's rows; a batch that comes again replaces itself.
+
+    The stored rows are given back as a table of ``reader``. A streaming batch
+    comes in a session of its own; what is done with the rows should rather run
+    under the settings of the caller's.
+    """
     target = f"{path}/{BATCH}={batch_id}"
     df.write.mode("overwrite").parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(target)
 
 
 @dataclass(frozen=True)
@@ -88,7 +95,8 @@ class IncrementalStar:
         def apply_batch(events: DataFrame, batch_id: int) -> None:
             typed = conform(events, self.event_schema)
             # Parsed once, then read by each table with only the columns it needs.
-            staged = write_batch(typed, f"{self.root}/staging", batch_id)
+            spark = raw_songs.sparkSession
+            staged = write_batch(typed, f"{self.root}/staging", batch_id, spark)
             plays = build_songplays(staged, raw_songs, catalogue, self.profile)
             plays = write_batch(plays, f"{self.root}/songplays", batch_id)
             users = dims.users_state(plays_only(staged, self.profile.play_page), self.order)

@@ -59,25 +59,29 @@ def stage(
         written = lines.text(source).filter(F.trim("value") != "")
         parsed = by_json_paths(written, schema, json_paths)
     elif fmt == "json":
-        parsed = _typed(scan_json(spark, source, raw, glob), schema)
+        parsed = typed(scan_json(spark, source, raw, glob), schema)
     elif fmt == "csv":
-        parsed = _typed(scan_csv(spark, source, raw, glob, quoted_newlines, CORRUPT), schema)
+        parsed = typed(scan_csv(spark, source, raw, glob, quoted_newlines, CORRUPT), schema)
     elif fmt == "parquet":
-        rows = conform(scan_parquet(spark, source), schema)
-        parsed = rows.withColumn(CORRUPT, F.lit(None).cast("string"))
+        parsed = typed(scan_parquet(spark, source), schema)
     else:
         raise ValueError(f"format {fmt!r} is not one of json, csv, parquet")
 
-    marked = parsed.withColumn(REJECTED, F.col(CORRUPT).isNotNull())
-    marked.write.mode("overwrite").partitionBy(REJECTED).parquet(target)
+    write_staged(parsed, target)
     staged = read_staged(spark, target, schema)
     if on_reject == "fail" and not staged.rejected.isEmpty():
         raise ValueError(f"{source} has lines that do not fit; see {target}")
     return staged
 
 
+def write_staged(parsed: DataFrame, target: str) -> None:
+    """Store parsed rows; those with corrupt text go to a partition of their own."""
+    marked = parsed.withColumn(REJECTED, F.col(CORRUPT).isNotNull())
+    marked.write.mode("overwrite").partitionBy(REJECTED).parquet(target)
+
+
 def read_staged(spark: SparkSession, target: str, schema: StructType) -> Staged:
-    """A table written by :func:`stage`. Either half reads only its own directory."""
+    """A table written by :func:`write_staged`. Either half reads only its own directory."""
     stored = spark.read.schema(
         StructType([*schema.fields]).add(CORRUPT, StringType()).add(REJECTED, "boolean")
     ).parquet(target)
@@ -125,6 +129,8 @@ def by_json_paths(
     return parsed.select(*kept, *found, F.col("_json").getField(CORRUPT).alias(CORRUPT))
 
 
-def _typed(raw: DataFrame, schema: StructType) -> DataFrame:
-    """Typed columns plus the corrupt text."""
+def typed(raw: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` plus the corrupt text, which is NULL where there is no such column."""
+    if CORRUPT not in raw.columns:
+        raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
     return conform(raw, StructType([*schema.fields]).add(CORRUPT, StringType()))

@@ -7,14 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from starloom.operators import dims, publish
 from starloom.operators.rows import distinct_rows, plays_only
 from starloom.operators.upsert import merge_states, rows_of
 from starloom.plans.profiles import Profile
 from starloom.plans.star import build_songplays, build_time
-from starloom.sources.convert import conform
+from starloom.sources.staging import read_staged, typed, write_staged
 
 BATCH = "batch_id"
 
@@ -28,19 +28,25 @@ def load_available(
     fmt: str = "json",
     max_files: int | None = None,
     glob: str | None = None,
+    corrupt_column: str | None = None,
 ) -> None:
     """Hand new files to ``apply_batch`` in batches of up to ``max_files``, then stop.
 
     ``checkpoint`` remembers what has been read and numbers the batches; it
     belongs to the tables the batches go to and must live as long as they do. A
     batch may be handed over again after a failure, so ``apply_batch`` must give
-    the same result the second time.
+    the same result the second time. With ``corrupt_column`` lines of JSON or CSV
+    that cannot be read arrive with their text in that column.
     """
+    if corrupt_column:
+        schema = StructType([*schema.fields]).add(corrupt_column, StringType())
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     query = (
         reader.load(source)
         .writeStream.foreachBatch(apply_batch)
@@ -51,18 +57,11 @@ def load_available(
     query.awaitTermination()
 
 
-def write_batch(
-    df: DataFrame, path: str, batch_id: int, reader: SparkSession | None = None
-) -> DataFrame:
-    """Store one batch's rows; a batch that comes again replaces itself.
-
-    The stored rows are given back as a table of ``reader``. A streaming batch
-    comes in a session of its own; what is done with the rows should rather run
-    under the settings of the caller's.
-    """
+def write_batch(df: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Store one batch's rows and give them back; a batch that comes again replaces itself."""
     target = f"{path}/{BATCH}={batch_id}"
     df.write.mode("overwrite").parquet(target)
-    return (reader or df.sparkSession).read.schema(df.schema).parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
 @dataclass(frozen=True)
@@ -93,10 +92,11 @@ class IncrementalStar:
         """The function to hand to :func:`load_available`."""
 
         def apply_batch(events: DataFrame, batch_id: int) -> None:
-            typed = conform(events, self.event_schema)
-            # Parsed once, then read by each table with only the columns it needs.
-            spark = raw_songs.sparkSession
-            staged = write_batch(typed, f"{self.root}/staging", batch_id, spark)
+            # Parsed once, then read by each table with only the columns it needs, in
+            # the caller's session: a streaming batch comes in one of its own.
+            target = f"{self.root}/staging/{BATCH}={batch_id}"
+            write_staged(typed(events, self.event_schema), target)
+            staged = read_staged(raw_songs.sparkSession, target, self.event_schema).rows
             plays = build_songplays(staged, raw_songs, catalogue, self.profile)
             plays = write_batch(plays, f"{self.root}/songplays", batch_id)
             users = dims.users_state(plays_only(staged, self.profile.play_page), self.order)
@@ -109,6 +109,10 @@ class IncrementalStar:
         stored = spark.read.option("basePath", f"{self.root}/{table}").parquet(f"{self.root}/{table}")
         return stored.withColumn(BATCH, F.col(BATCH).cast(LongType()))
 
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        """The text of all lines that could not be read."""
+        return read_staged(spark, f"{self.root}/staging", self.event_schema).rejected
+
     def songplays(self, spark: SparkSession) -> DataFrame:
         return self._batches(spark, "songplays").drop(BATCH)
 

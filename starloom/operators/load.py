@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from starloom.functions.keys import monotonic_key
 
 
+# Rows that compress well fill small files; reading them back is work per row.
+ROWS_PER_FILE = 1_000_000
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -32,7 +36,7 @@ def write_table(
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
     if number:
         df = df.select(monotonic_key().alias(number), "*")
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if only_touched_partitions:

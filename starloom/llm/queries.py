@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import shard_tree
+from starloom.llm import byte_bpe, shard_tree
 from starloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +19,15 @@ def op2_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.assign(read(spark, sf_dir, "documents"), TREE)
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merges = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe.digests(read(spark, sf_dir, "documents"), merges, public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_shard_tree": op2_shard_tree,
+        "op5_byte_bpe": op5_byte_bpe,
     }
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.tables import only, positional, text_slices
+from starloom.llm.tables import only, positional, ship, text_slices
 
 #: A rank file may have so many bytes; it is sent to every executor.
 MOST_VOCABULARY_BYTES = 64 << 20
@@ -341,6 +341,7 @@ class Shared:
     """A broadcast that knows its number in the workers."""
 
     def __init__(self, spark, value):
+        ship(spark)
         self.broadcast = spark.sparkContext.broadcast(value)
         self.id = self.broadcast._jbroadcast.id()
 

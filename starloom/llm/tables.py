@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,3 +75,25 @@ def as_batch(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
     )
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark) -> None:
+    """Give this package to the executors' Python, once per application.
+
+    Executors need not have it installed, and need not share a folder with the driver.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parents[2]
+    folder = tempfile.mkdtemp()  # the driver serves the file from here until it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    packed = f"{folder}/starloom-{context.applicationId}.zip"
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted((top / "starloom").rglob("*.py")):
+            archive.write(file, file.relative_to(top))
+    context.addPyFile(packed)
+    _shipped.add(context.applicationId)

@@ -200,14 +200,14 @@ def find_hits(
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (array of begin and end word) and ``items`` (their ids as text).
 
-    Spans of one document do not touch; items are distinct and in order.
+    Spans (``start``, ``stop``) of one document do not touch; items are distinct and in order.
     """
     for taken in ("n_words", "spans", "items"):
         if taken in docs.columns:
             docs = docs.drop(taken)
     names, at = docs.columns, docs.columns.index(text_col)
     out = positional(docs)
-    fields = "_n bigint, _spans array<struct<begin:int, end:int>>, _items array<string>"
+    fields = "_n bigint, _spans array<struct<start:int,stop:int>>, _items array<string>"
     for number, block in enumerate(item_blocks(only(items, item_id=item_id, text=item_text), block_words)):
         shared = Shared(docs.sparkSession, ItemAutomaton(block, window))
         known = out.columns
@@ -229,12 +229,12 @@ def _ddl(df: DataFrame) -> str:
 
 def _merge_spans(spans):
     """Join sorted spans that touch or overlap."""
-    empty = F.array().cast("array<struct<begin:int,end:int>>")
+    empty = F.array().cast("array<struct<start:int,stop:int>>")
 
     def add(done, span):
         last = F.element_at(done, -1)
-        joined = F.struct(last.begin.alias("begin"), F.greatest(last.end, span.end).alias("end"))
-        touches = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1)).end >= span.begin)
+        joined = F.struct(last.start.alias("start"), F.greatest(last.stop, span.stop).alias("stop"))
+        touches = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1)).stop >= span.start)
         return F.when(touches, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(
             F.concat(done, F.array(span))
         )
@@ -242,7 +242,7 @@ def _merge_spans(spans):
     return F.aggregate(spans, empty, add)
 
 
-_SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
 
 def _matcher(shared: Shared, at: int):
@@ -254,7 +254,7 @@ def _matcher(shared: Shared, at: int):
                 words = words_of(text)
                 counts.append(len(words))
                 found, which = automaton.hits(words)
-                spans.append([{"begin": a, "end": b} for a, b in found])
+                spans.append([{"start": a, "stop": b} for a, b in found])
                 items.append([automaton.names[i] for i in sorted(which)])
             columns = [pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
             names = [*batch.schema.names, "_n", "_spans", "_items"]
@@ -265,7 +265,7 @@ def _matcher(shared: Shared, at: int):
 
 def _verdict(found: DataFrame, per: int) -> DataFrame:
     """``n_hit``, and ``contaminated``: at least one word in ``per`` is hit."""
-    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s.end - s.begin)
+    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s.stop - s.start)
     found = found.withColumn("n_hit", hit)
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (per * F.col("n_hit") >= F.col("n_words")))
 
@@ -304,13 +304,13 @@ def remove_spans(
     names, at = docs.columns, docs.columns.index(text_col)
     inner = positional(docs)
     found = _verdict(find_hits(inner, items, text_col=f"_c{at}", window=window), per)
-    over = F.filter("spans", lambda s: F.col("contaminated") & (s.end - s.begin > most_words))
+    over = F.filter("spans", lambda s: F.col("contaminated") & (s.stop - s.start > most_words))
     found = found.select(*inner.columns, over.alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, at):
             texts = [
-                cut_spans(text, [(s["begin"], s["end"]) for s in spans]) if spans else text
+                cut_spans(text, [(s["start"], s["stop"]) for s in spans]) if spans else text
                 for text, spans in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist())
             ]
             columns = batch.columns[: len(names)]

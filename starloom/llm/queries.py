@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import byte_bpe, shard_tree
+from starloom.llm import byte_bpe, decontam, shard_tree, token_counts
 from starloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +24,22 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf_dir, "documents"), merges, public_tokenizers.PATTERN)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merges, special = token_counts.load_json(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = read(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, merges, special, public_tokenizers.PATTERN)
+
+
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_shard_tree": op2_shard_tree,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_token_counts": op6_token_counts,
+        "op10_decontam": op10_decontam,
     }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import byte_bpe, decontam, shard_tree, token_counts
+from starloom.llm import byte_bpe, decontam, ngram_join, shard_tree, token_counts
 from starloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def op2_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.assign(read(spark, sf_dir, "documents"), TREE)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.near_groups(read(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     merges = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return byte_bpe.digests(read(spark, sf_dir, "documents"), merges, public_tokenizers.PATTERN)
@@ -37,6 +42,7 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_shard_tree": op2_shard_tree,
+        "op4_ngram_join": op4_ngram_join,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_token_counts": op6_token_counts,
         "op10_decontam": op10_decontam,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import byte_bpe, decontam, ngram_join, shard_tree, token_counts
+from starloom.llm import byte_bpe, decision_list, decontam, line_windows, ngram_join, shard_tree, token_counts
 from starloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def op2_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.assign(read(spark, sf_dir, "documents"), TREE)
 
 
+def op3_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_windows.dedup_lines(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_removed")
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = ngram_join.near_groups(read(spark, sf_dir, "documents"))
     return groups.select("doc_id", "n_shingles", "component_id")
@@ -35,6 +40,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, merges, special, public_tokenizers.PATTERN)
 
 
+def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return decision_list.judge(docs, decision_list.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -42,12 +52,16 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_shard_tree": op2_shard_tree,
+        "op3_line_windows": op3_line_windows,
         "op4_ngram_join": op4_ngram_join,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_token_counts": op6_token_counts,
+        "op7_decision_list": op7_decision_list,
         "op10_decontam": op10_decontam,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_line_windows": line_windows.ORACLE,
+    }

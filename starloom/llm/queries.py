@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import byte_bpe, decision_list, decontam, line_windows, ngram_join, shard_tree, token_counts
+from starloom.llm import (
+    byte_bpe,
+    decision_list,
+    decontam,
+    lang_codes,
+    line_windows,
+    ngram_join,
+    shard_tree,
+    token_counts,
+    toxic_segments,
+)
 from starloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +55,14 @@ def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judge(docs, decision_list.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op8_lang_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_codes.report(read(spark, sf_dir, "documents"))
+
+
+def op9_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_segments.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -57,6 +75,8 @@ def queries() -> dict[str, Query]:
         "op5_byte_bpe": op5_byte_bpe,
         "op6_token_counts": op6_token_counts,
         "op7_decision_list": op7_decision_list,
+        "op8_lang_codes": op8_lang_codes,
+        "op9_toxic_segments": op9_toxic_segments,
         "op10_decontam": op10_decontam,
     }
 

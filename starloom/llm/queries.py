@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.llm import (
     byte_bpe,
+    chat_quotes,
     decision_list,
     decontam,
     lang_codes,
@@ -25,6 +27,23 @@ Query = Callable[[SparkSession, str], DataFrame]
 TREE = shard_tree.HashTree.even(regions=5, racks=2, shards=4)
 
 
+def op1_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of the table as mail, each quoting the two turns before it, and back."""
+    mail = chat_quotes.as_mail(read(spark, sf_dir, "conversations"))
+    found = chat_quotes.conversations(mail)
+    return found.select(
+        F.col("thread").alias("conv_id"),
+        F.col("id.turn").alias("turn"),
+        F.col("root.conv_id").alias("root_conv_id"),
+        F.col("root.turn").alias("root_turn"),
+        F.col("parent.conv_id").alias("parent_conv_id"),
+        F.col("parent.turn").alias("parent_turn"),
+        "depth",
+        "role",
+        "text",
+    )
+
+
 def op2_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.assign(read(spark, sf_dir, "documents"), TREE)
 
@@ -69,6 +88,7 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_chat_quotes": op1_chat_quotes,
         "op2_shard_tree": op2_shard_tree,
         "op3_line_windows": op3_line_windows,
         "op4_ngram_join": op4_ngram_join,

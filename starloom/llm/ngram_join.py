@@ -34,8 +34,8 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -148,50 +148,50 @@ def _pack(blocks: int, width: int, common: Shared):
     return run
 
 
-def _keep_shared(rows: pd.DataFrame) -> pd.DataFrame:
+def _arrays(column: pa.ChunkedArray, dtype) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype) for x in column.to_pylist()]
+
+
+def _keep_shared(rows: pa.Table) -> pa.Table:
     """One block of columns: entries whose column has another entry."""
-    judged = rows["entries"].notna() & (rows["block"] >= 0)
-    packed = rows[judged]
-    if not len(packed):
+    judged = pc.and_(pc.is_valid(rows["entries"]), pc.greater_equal(rows["block"], 0))
+    packed = rows.filter(judged)
+    if not packed.num_rows:
         return rows
-    counts = [np.frombuffer(c, np.int32) for c in packed["counts"]]
-    entries = np.frombuffer(b"".join(packed["entries"]), np.uint64)
-    order = np.argsort(entries)
-    same = entries[order][1:] == entries[order][:-1]
-    shared = np.zeros(len(entries), bool)
+    counts, entries = _arrays(packed["counts"], np.int32), _arrays(packed["entries"], np.uint64)
+    row_ends, entry_ends = np.cumsum([len(c) for c in counts]), np.cumsum([len(e) for e in entries])
+    each, whole = np.concatenate(counts), np.concatenate(entries)
+    order = np.argsort(whole)
+    same = whole[order][1:] == whole[order][:-1]
+    shared = np.zeros(len(whole), bool)
     shared[order[1:][same]] = True
     shared[order[:-1][same]] = True
-    owner = np.repeat(np.arange(sum(map(len, counts))), np.concatenate(counts))
-    kept = np.bincount(owner[shared], minlength=sum(map(len, counts))).astype(np.int32)
-    row_ends = np.cumsum([len(c) for c in counts])
-    entry_ends = np.cumsum([int(c.sum()) for c in counts])
-    new_counts, new_entries = [], []
-    for i, (r, e) in enumerate(zip(row_ends, entry_ends)):
-        r0, e0 = r - len(counts[i]), e - int(counts[i].sum())
-        new_counts.append(kept[r0:r].tobytes())
-        new_entries.append(entries[e0:e][shared[e0:e]].tobytes())
-    packed = packed.assign(counts=new_counts, entries=new_entries)
-    packed = packed[packed["entries"].map(len) > 0]
-    return pd.concat([rows[~judged], packed])
+    kept = np.bincount(np.repeat(np.arange(len(each)), each)[shared], minlength=len(each)).astype(np.int32)
+    new_counts = [kept[e - len(c) : e].tobytes() for c, e in zip(counts, row_ends)]
+    new_entries = [x[shared[e - len(x) : e]].tobytes() for x, e in zip(entries, entry_ends)]
+    for name, values in (("counts", new_counts), ("entries", new_entries)):
+        packed = packed.set_column(packed.schema.get_field_index(name), name, pa.array(values, pa.binary()))
+    packed = packed.filter(pc.greater(pc.binary_length(packed["entries"]), 0))
+    return pa.concat_tables([rows.filter(pc.invert(judged)), packed])
 
 
 def _unpack(percent: int):
     """One batch of documents: each with its shared n-grams, if they are enough."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        docs = rows[rows["row"].notna()].sort_values("row")
-        packed = rows[rows["entries"].notna()]
-        sizes = docs["n"].to_numpy(np.int64)
-        owner = [np.repeat(np.arange(len(docs)), np.frombuffer(c, np.int32)) for c in packed["counts"]]
+    def run(rows: pa.Table) -> pa.Table:
+        docs = rows.filter(pc.is_valid(rows["row"])).sort_by("row")
+        packed = rows.filter(pc.is_valid(rows["entries"]))
+        sizes = docs["n"].to_numpy().astype(np.int64)
+        owner = [np.repeat(np.arange(len(sizes)), c) for c in _arrays(packed["counts"], np.int32)]
         owner = np.concatenate([*owner, np.empty(0, np.int64)]).astype(np.int64)
-        entries = np.frombuffer(b"".join(packed["entries"]), np.int64)
-        order = np.argsort(owner, kind="stable")
-        entries = entries[order]
-        shared = np.bincount(owner, minlength=len(docs))
+        entries = np.concatenate([*_arrays(packed["entries"], np.int64), np.empty(0, np.int64)])
+        entries = entries[np.argsort(owner, kind="stable")]
+        shared = np.bincount(owner, minlength=len(sizes))
         ends = np.cumsum(shared)
         enough = (100 * shared >= percent * sizes) & (sizes > 0)
         grams = [entries[e - s : e] if ok else None for ok, s, e in zip(enough, shared, ends)]
-        return docs[["doc_id", "text_hash", "n", "class"]].assign(grams=grams)
+        docs = docs.select(["doc_id", "text_hash", "n", "class"])
+        return docs.append_column("grams", pa.array(grams, pa.list_(pa.int64())))
 
     return run
 
@@ -209,8 +209,8 @@ def incidence(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block
     schema = _ROWS.format(id=kind)
     common = Shared(spark, _common(docs, width))
     packed = docs.mapInArrow(_pack(blocks, width, common), schema)
-    judged = packed.groupBy("block").applyInPandas(_keep_shared, schema)
-    return judged.groupBy("batch").applyInPandas(
+    judged = packed.groupBy("block").applyInArrow(_keep_shared, schema)
+    return judged.groupBy("batch").applyInArrow(
         _unpack(percent), f"doc_id {kind}, text_hash bigint, n int, class binary, grams array<bigint>"
     )
 

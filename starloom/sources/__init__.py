@@ -1,5 +1,12 @@
 from starloom.sources.convert import conform, convert
-from starloom.sources.files import file_count, preview, scan_csv, scan_json, scan_parquet
+from starloom.sources.files import (
+    file_count,
+    preview,
+    require_files,
+    scan_csv,
+    scan_json,
+    scan_parquet,
+)
 from starloom.sources.staging import Staged, by_json_paths, read_json_paths, read_staged, stage
 
 __all__ = [
@@ -11,6 +18,7 @@ __all__ = [
     "preview",
     "read_json_paths",
     "read_staged",
+    "require_files",
     "scan_csv",
     "scan_json",
     "scan_parquet",

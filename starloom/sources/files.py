@@ -44,9 +44,13 @@ def scan_csv(
     glob: str | None = "*.csv",
     quoted_newlines: bool = True,
     corrupt_column: str | None = None,
+    delimiter: str = ",",
+    header: bool = True,
 ) -> DataFrame:
     """CSV files below ``root``, each with its own header; ``""`` in quotes is one quote.
 
+    Fields are taken by position. A header must name the columns of ``schema`` in
+    their order, so files of another layout end the job instead of being misread.
     A quoted field may contain line breaks, which makes a file one unit of work.
     For large files known to have none, ``quoted_newlines=False`` lets Spark
     split them.
@@ -55,7 +59,9 @@ def scan_csv(
         schema = StructType([*schema.fields]).add(corrupt_column, StringType())
     reader = (
         spark.read.schema(schema)
-        .option("header", "true")
+        .option("header", str(header).lower())
+        .option("enforceSchema", str(not header).lower())
+        .option("delimiter", delimiter)
         .option("encoding", "UTF-8")
         .option("quote", '"')
         .option("escape", '"')
@@ -86,6 +92,13 @@ def scan_parquet(
     return reader.parquet(root)
 
 
+def require_files(df: DataFrame, source: str) -> DataFrame:
+    """``df`` if it reads at least one file; a path or pattern that matches none is a mistake."""
+    if not df.inputFiles():
+        raise FileNotFoundError(f"no file below {source} matches")
+    return df
+
+
 def file_count(df: DataFrame) -> DataFrame:
     """One row: how many files ``df`` was read from, and how many rows they gave."""
     per_file = df.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from starloom.sources.convert import conform, convert
-from starloom.sources.files import CORRUPT, scan_csv, scan_json, scan_parquet
+from starloom.sources.files import CORRUPT, require_files, scan_csv, scan_json, scan_parquet
 
 REJECTED = "is_rejected"
 TOP_LEVEL_PATH = re.compile(r"\$(?:\.(\w+)|\['([^'\]]+)'\])")
@@ -37,6 +37,8 @@ def stage(
     glob: str | None = None,
     quoted_newlines: bool = True,
     on_reject: str = "quarantine",
+    delimiter: str = ",",
+    header: bool = True,
 ) -> Staged:
     """Load the files below ``source`` into the staging table ``target``.
 
@@ -44,8 +46,10 @@ def stage(
     or by ``json_paths``, one path per column of ``schema`` in its order, given as
     a list or as the path of a mapping file.
     ``raw_schema`` declares the kinds in the files where they differ from
-    ``schema``. The files are parsed once; unreadable lines land in a partition
-    of their own, or end the load with ``on_reject="fail"``.
+    ``schema``. Without ``glob`` every file below ``source`` is read, compressed ones
+    too; a source without any file raises ``FileNotFoundError``. The files are parsed
+    once; unreadable lines land in a partition of their own, or end the load with
+    ``on_reject="fail"``.
     """
     if on_reject not in ("quarantine", "fail"):
         raise ValueError("on_reject is 'quarantine' or 'fail'")
@@ -56,14 +60,15 @@ def stage(
             lines = lines.option("pathGlobFilter", glob)
         if isinstance(json_paths, str):
             json_paths = read_json_paths(spark, json_paths)
-        written = lines.text(source).filter(F.trim("value") != "")
+        written = require_files(lines.text(source), source).filter(F.trim("value") != "")
         parsed = by_json_paths(written, schema, json_paths)
     elif fmt == "json":
-        parsed = typed(scan_json(spark, source, raw, glob), schema)
+        parsed = typed(require_files(scan_json(spark, source, raw, glob), source), schema)
     elif fmt == "csv":
-        parsed = typed(scan_csv(spark, source, raw, glob, quoted_newlines, CORRUPT), schema)
+        found = scan_csv(spark, source, raw, glob, quoted_newlines, CORRUPT, delimiter, header)
+        parsed = typed(require_files(found, source), schema)
     elif fmt == "parquet":
-        parsed = typed(scan_parquet(spark, source), schema)
+        parsed = typed(require_files(scan_parquet(spark, source), source), schema)
     else:
         raise ValueError(f"format {fmt!r} is not one of json, csv, parquet")
 

@@ -100,7 +100,9 @@ def time_dim(
     ``events`` is then a fact table that has ``start_time``. Duplicates go before
     the calendar columns are computed, since those follow from the time.
     ``distinct=False`` keeps one row per input row, which makes a later join on
-    the time repeat fact rows.
+    the time repeat fact rows. Events without a time have no row: the time is the
+    key. (A play without a time stays in the fact, with NULL; required columns are
+    checked by ``enforce``.)
     """
     if scope == "fact":
         if keep_epoch:
@@ -113,6 +115,7 @@ def time_dim(
         moments = events.select(*epoch, start_time("ts", whole_seconds).alias("start_time"))
     else:
         raise ValueError("scope is 'plays', 'all' or 'fact'")
+    moments = with_keys(moments, "start_time")
     if distinct:
         moments = moments.distinct()
     parts = time_parts(F.col("start_time"), weekday_style, month_as_text)

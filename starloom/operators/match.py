@@ -51,6 +51,7 @@ def match(
     duplicates: str = "all",
     add: Sequence[str] = ("song_id", "artist_id"),
     hot_share: float | None = None,
+    spread: int = 64,
 ) -> DataFrame:
     """Add the catalogue columns ``add`` to each event.
 
@@ -60,8 +61,8 @@ def match(
     the join.
 
     Which side is broadcast, if any, is left to Spark, which knows the sizes.
-    Adaptive execution splits hot keys at run time; ``hot_share`` splits them in
-    the plan instead (see :mod:`starloom.operators.skew`).
+    Adaptive execution splits keys with much input at run time; ``hot_share`` splits
+    keys with much output in the plan (see :mod:`starloom.operators.skew`).
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
@@ -76,7 +77,7 @@ def match(
     right = _song_side(catalogue, keys, add)
     if duplicates == "first":
         right = right.groupBy(*names).agg(F.min(F.struct(*add)).alias("_pick")).select(*names, "_pick.*")
-    return _joined(left, right, names, how, hot_share).select(*events.columns, *add)
+    return _joined(left, right, names, how, hot_share, spread).select(*events.columns, *add)
 
 
 def distinct_matches(
@@ -86,6 +87,7 @@ def distinct_matches(
     columns: Sequence[str],
     add: Sequence[str] = ("song_id", "artist_id"),
     hot_share: float | None = None,
+    spread: int = 64,
 ) -> DataFrame:
     """The distinct rows of ``columns`` and ``add`` that an inner :func:`match` gives.
 
@@ -97,7 +99,7 @@ def distinct_matches(
     names = _key_names(keys)
     left = events.select(*columns, *[key.of_event().alias(n) for n, key in zip(names, keys)]).distinct()
     right = _song_side(catalogue, keys, add).distinct()
-    joined = _joined(left, right, names, "inner", hot_share).select(*columns, *add)
+    joined = _joined(left, right, names, "inner", hot_share, spread).select(*columns, *add)
     several = right.groupBy(*add).agg(F.count(F.lit(1)).alias("_keys")).filter(F.col("_keys") > 1)
     return joined if several.isEmpty() else joined.distinct()
 
@@ -113,11 +115,11 @@ def _song_side(catalogue: DataFrame, keys: Sequence[MatchKey], add: Sequence[str
 
 
 def _joined(
-    left: DataFrame, right: DataFrame, names: list[str], how: str, hot_share: float | None
+    left: DataFrame, right: DataFrame, names: list[str], how: str, hot_share: float | None, spread: int
 ) -> DataFrame:
     if hot_share is None:
         return left.join(right, names, how)
-    return join_spreading_hot_keys(left, right, names, how, hot_share)
+    return join_spreading_hot_keys(left, right, names, how, hot_share, spread)
 
 
 def join_catalogue(songs: DataFrame, artists: DataFrame) -> DataFrame:

@@ -7,25 +7,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from starloom.operators.rows import with_keys
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float, right: DataFrame | None = None, spread: int = 64
+) -> DataFrame:
     """Keys that hold at least ``share`` of the rows; there can be at most ``1 / share``.
 
+    With ``right`` the rows counted are those that a join with it makes: the product
+    of both sides' counts (a key without a partner counts once). ``_slots`` says over
+    how many partitions a key's rows should be dealt: its part of ``spread``, two at least.
+
     One job counts rows per key, on the map side first, and adds the counts up on
     the way; only the largest ``1 / share`` counts come to the driver.
     """
     if not 0 < share <= 1:
         raise ValueError("share is above 0 and at most 1")
     counts = with_keys(df, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    if right is not None:
+        partners = with_keys(right, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_partners"))
+        made = F.col("_rows") * F.coalesce("_partners", F.lit(1))
+        counts = counts.join(partners, list(keys), "left").select(*keys, made.alias("_rows"))
     seen = Observation()
     seen_counts = counts.observe(seen, F.sum("_rows").alias("total"))
     largest = seen_counts.orderBy(F.desc("_rows")).limit(math.ceil(1 / share)).collect()
     total = seen.get["total"] if largest else 0
-    hot = [tuple(row[key] for key in keys) for row in largest if row["_rows"] >= total * share]
-    return df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
+    hot = [
+        (*[row[key] for key in keys], max(2, math.ceil(spread * row["_rows"] / total)))
+        for row in largest
+        if row["_rows"] >= total * share
+    ]
+    return df.sparkSession.createDataFrame(hot, df.select(*keys).schema.add("_slots", IntegerType()))
 
 
 def join_spreading_hot_keys(
@@ -36,10 +51,11 @@ def join_spreading_hot_keys(
     share: float = 0.01,
     spread: int = 64,
 ) -> DataFrame:
-    """Equi-join that deals the rows of each hot left key over ``spread`` partitions.
+    """Equi-join that deals the left rows of each hot key over up to ``spread`` partitions.
 
-    The right rows of a hot key are repeated once per partition; all others stay
-    single. ``how`` is ``inner`` or ``left``. The hot keys number at most
+    A key is hot if the join makes at least ``share`` of its rows from it. The right
+    rows of a hot key are repeated once per partition; all others stay single.
+    ``how`` is ``inner`` or ``left``. The hot keys number at most
     ``1 / share``, so they are broadcast and collected safely.
 
     The partition follows from the row's values and the input partition it is in,
@@ -48,17 +64,15 @@ def join_spreading_hot_keys(
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
-    hot = F.broadcast(hot_keys(left, keys, share).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(left, keys, share, right, spread))
     place = F.xxhash64(*[F.col(name) for name in left.columns], F.spark_partition_id())
-    slot = F.pmod(place, F.lit(spread)).cast("int")
     # Rows without a key match nothing and may go anywhere.
-    scattered = F.col("_hot")
+    keyless = F.lit(False)
     for key in keys:
-        scattered = scattered | F.col(key).isNull()
-    dealt = left.join(hot, list(keys), "left").withColumn(
-        "_slot", F.when(scattered, slot).otherwise(F.lit(0))
-    )
-    slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
+        keyless = keyless | F.col(key).isNull()
+    size = F.when(keyless, F.lit(spread)).otherwise(F.coalesce("_slots", F.lit(1)))
+    dealt = left.join(hot, list(keys), "left").withColumn("_slot", F.pmod(place, size).cast("int"))
+    slots = F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1)
     copied = right.join(hot, list(keys), "left").withColumn("_slot", F.explode(slots))
-    joined = dealt.drop("_hot").join(copied.drop("_hot"), [*keys, "_slot"], how)
+    joined = dealt.drop("_slots").join(copied.drop("_slots"), [*keys, "_slot"], how)
     return joined.drop("_slot")

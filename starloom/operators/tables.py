@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,7 +54,15 @@ def recreate_all(
     create_all(spark, tables, database, location)
 
 
-def insert_by_name(df: DataFrame, table: str, truncate: bool = False) -> None:
-    """Insert rows into a catalog table; columns are paired by name, not position."""
+def insert_by_name(
+    df: DataFrame, table: str, truncate: bool = False, drop: Sequence[str] = ()
+) -> None:
+    """Insert rows into a catalog table; columns are paired by name, not position.
+
+    A column that the table does not have raises, unless it is named in ``drop``.
+    """
     target = df.sparkSession.table(table).columns
+    extra = sorted(set(df.columns) - set(target) - set(drop))
+    if extra:
+        raise ValueError(f"{table} has no column {', '.join(extra)}")
     df.select(*target).write.insertInto(table, overwrite=truncate)

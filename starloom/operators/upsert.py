@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.rows import with_keys
+
 FIRST = "_first"
 LAST = "_last"
 
@@ -77,10 +79,14 @@ def insert_absent(
 ) -> DataFrame:
     """The rows of ``incoming`` (one per key) whose key ``existing`` does not have.
 
+    Rows without a whole key are left out: NULL never equals what is there, so every
+    load would add them again.
+
     ``within`` names a key column that loads fill in roughly ascending order, such
     as a time: only the part of ``existing`` between the smallest and the largest
     incoming value is then read and compared.
     """
+    incoming = with_keys(incoming, *keys)
     if within:
         low, high = incoming.agg(F.min(within), F.max(within)).first()
         existing = existing.filter(F.col(within).between(low, high))

@@ -1,3 +1,4 @@
+from starloom.plans.catalog import load_catalog, recreate_star, star_tables
 from starloom.plans.load import Sources, create_views, labelled, read_table, run
 from starloom.plans.lookups import load_lookups, stage_listens
 from starloom.plans.profiles import LAKE, PROFILES, STAGED_INNER, STAGED_LEFT, UPSERT, Profile
@@ -18,8 +19,11 @@ __all__ = [
     "build_users",
     "create_views",
     "labelled",
+    "load_catalog",
     "load_lookups",
     "read_table",
+    "recreate_star",
     "run",
     "stage_listens",
+    "star_tables",
 ]

@@ -25,6 +25,7 @@ class Profile:
     play_page: str = PLAY_PAGE
     dedup_raw: bool = False
     hot_share: float | None = None  # see operators.match
+    spread: int = 64  # partitions for a hot title, at most
 
     # Fact
     whole_seconds: bool = False
@@ -106,7 +107,7 @@ LAKE = Profile(
     match_against="dimensions",
     dedup_raw=True,
     play_key="monotonic",
-    dedup_fact=True,
+    hot_share=0.01,
     calendar_columns=("year", "month"),
     require_ids=False,
     time_keeps_epoch=True,

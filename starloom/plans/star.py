@@ -98,13 +98,11 @@ def build_songplays(
         F.col("itemInSession").alias("_item"),
         *[key.event for key in profile.match_keys],
     )
-    how, share = profile.match_how, profile.hot_share
+    how, spread = profile.match_how, {"hot_share": profile.hot_share, "spread": profile.spread}
     if profile.dedup_fact and how == "inner" and profile.match_duplicates == "all":
-        fact = distinct_matches(plays, songs, profile.match_keys, PLAY_VALUES, hot_share=share)
+        fact = distinct_matches(plays, songs, profile.match_keys, PLAY_VALUES, **spread)
     else:
-        fact = match(
-            plays, songs, profile.match_keys, how, profile.match_duplicates, hot_share=share
-        )
+        fact = match(plays, songs, profile.match_keys, how, profile.match_duplicates, **spread)
         if profile.dedup_fact:
             fact = distinct_rows(fact.select(*PLAY_VALUES, "song_id", "artist_id"))
     if profile.dedup_fact:

@@ -25,13 +25,22 @@ from starloom.workloads.standin import BOTH_SQL, PLAY, raw_events, raw_songs
 TABLES = ("songplays", "users", "songs", "artists", "time")
 
 
-def write_raw_files(spark: SparkSession, sf_dir: str) -> Sources:
-    """The catalogue and the log as JSON files."""
+def write_raw_files(
+    spark: SparkSession,
+    sf_dir: str,
+    events: DataFrame | None = None,
+    songs: DataFrame | None = None,
+    fmt: str = "json",
+    compression: str = "none",
+) -> Sources:
+    """The catalogue as JSON files and the log as JSON or CSV files."""
     root = new_path(spark, "raw")
-    raw_songs(spark, sf_dir).write.json(f"{root}/songs")
-    events = raw_events(spark, sf_dir)
-    conform(events, schemas.RAW_EVENT).write.json(f"{root}/events")
-    return Sources(songs=f"{root}/songs", events=f"{root}/events")
+    songs = raw_songs(spark, sf_dir) if songs is None else songs
+    songs.write.option("compression", compression).json(f"{root}/songs")
+    events = raw_events(spark, sf_dir) if events is None else events
+    writer = conform(events, schemas.RAW_EVENT).write.option("compression", compression)
+    writer.options(header="true", escape='"').format(fmt).save(f"{root}/events")
+    return Sources(songs=f"{root}/songs", events=f"{root}/events", events_format=fmt)
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -45,36 +54,72 @@ def _text(df: DataFrame, name: str) -> Column:
 
 
 def checksum(name: str, df: DataFrame) -> DataFrame:
-    """One row: the table's name, its row count and a sum over hashes of its rows."""
-    row = F.concat_ws("|", *[_text(df, column) for column in df.columns])
-    number = F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("long")
+    """One row: the table's name, its row count and sums over the four parts of its rows' hashes."""
+    row = F.md5(F.concat_ws("|", *[_text(df, column) for column in df.columns]))
+    sums = [
+        F.coalesce(F.sum(F.conv(F.substring(row, 1 + 8 * part, 8), 16, 10).cast("long")), F.lit(0))
+        for part in range(4)
+    ]
     return df.agg(
-        F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(number), F.lit(0)).alias("checksum")
+        F.count(F.lit(1)).alias("row_count"),
+        F.concat_ws(":", *[each.cast("string") for each in sums]).alias("checksum"),
     ).select(F.lit(name).alias("table_name"), "row_count", "checksum")
 
 
-def loaded(spark: SparkSession, sf_dir: str, profile: Profile, drop: dict[str, str]) -> DataFrame:
-    output = new_path(spark, f"star-{profile.name}")
-    plans.run(spark, write_raw_files(spark, sf_dir), output, replace(profile, play_page=PLAY))
+def numbers(df: DataFrame, dense: bool) -> DataFrame:
+    """One row: how many different play numbers there are, and how many rows; dense ones end at that."""
+    last = F.max("songplay_id") if dense else F.count(F.lit(1))
+    return df.agg(
+        F.lit("songplay_id").alias("table_name"),
+        F.countDistinct("songplay_id").alias("row_count"),
+        last.cast("string").alias("checksum"),
+    )
+
+
+def star_checksums(spark: SparkSession, output: str, profile: Profile) -> DataFrame:
+    """Checksums of all tables; numbers whose order is free are checked on their own."""
     parts = []
     for name in TABLES:
         rows = plans.read_table(spark, output, name)
-        parts.append(checksum(name, rows.drop(drop.get(name, ""))))
+        if name == "songplays" and (profile.play_key == "monotonic" or not profile.numbered_in_order):
+            parts.append(numbers(rows, profile.play_key == "dense"))
+            rows = rows.drop("songplay_id")
+        parts.append(checksum(name, rows))
     return quality.report(parts)
 
 
+def load(spark: SparkSession, sf_dir: str, profile: Profile, sources: Sources | None = None) -> str:
+    """Run one whole load; gives where its tables are."""
+    output = new_path(spark, f"star-{profile.name}")
+    sources = sources or write_raw_files(spark, sf_dir)
+    plans.run(spark, sources, output, replace(profile, play_page=PLAY))
+    return output
+
+
+def loaded(spark: SparkSession, sf_dir: str, profile: Profile, sources: Sources | None = None) -> DataFrame:
+    return star_checksums(spark, load(spark, sf_dir, profile, sources), profile)
+
+
 def _checksum_sql(name: str, columns: list[str]) -> str:
     row = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    sums = " || ':' || ".join(
+        f"coalesce(CAST(sum(CAST('0x' || substr(h, {1 + 8 * part}, 8) AS BIGINT)) AS VARCHAR), '0')"
+        for part in range(4)
+    )
     return (
-        f"SELECT '{name}' AS table_name, count(*) AS row_count, "
-        f"CAST(sum(CAST('0x' || substr(md5({row}), 1, 8) AS BIGINT)) AS BIGINT) AS checksum FROM t_{name}"
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, {sums} AS checksum "
+        f"FROM (SELECT md5({row}) AS h FROM t_{name})"
     )
 
 
-def _star_sql(tables: dict[str, str], columns: dict[str, list[str]]) -> str:
+NUMBERS_SQL = """
+UNION ALL SELECT 'songplay_id', count(*), CAST(count(*) AS VARCHAR) FROM t_songplays"""
+
+
+def _star_sql(tables: dict[str, str], columns: dict[str, list[str]], before: str = "", after: str = "") -> str:
     ctes = ", ".join(f"t_{name} AS ({sql})" for name, sql in tables.items())
     sums = "\nUNION ALL ".join(_checksum_sql(name, columns[name]) for name in tables)
-    return f"WITH {BOTH_SQL}, {ctes}\n{sums}"
+    return f"WITH {BOTH_SQL}{before}, {ctes}\n{sums}{after}"
 
 
 USERS = ["user_id", "first_name", "last_name", "gender", "level"]
@@ -124,7 +169,7 @@ SECONDS = "(ts // 1000) * 1000 AS start_ms"
 FIVE = "{} AS DECIMAL(18,5)"
 
 
-@query(
+UPSERT_SQL = (
     _star_sql(
         {
             "songplays": f"""
@@ -156,11 +201,14 @@ FROM (SELECT DISTINCT {MILLIS} FROM plays)""",
         },
     )
 )
+
+
+@query(UPSERT_SQL)
 def load_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded(spark, sf_dir, plans.UPSERT, {})
+    return loaded(spark, sf_dir, plans.UPSERT)
 
 
-@query(
+INNER_SQL = (
     _star_sql(
         {
             "songplays": f"""
@@ -179,25 +227,37 @@ FROM (SELECT DISTINCT {SECONDS} FROM ev)""",
             "artists": ARTISTS,
             "time": ["start_ms", *PARTS],
         },
+        after=NUMBERS_SQL,
     )
 )
+
+
+@query(INNER_SQL)
 def load_staged_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded(spark, sf_dir, plans.STAGED_INNER, {"songplays": "songplay_id"})
+    return loaded(spark, sf_dir, plans.STAGED_INNER)
 
 
-@query(
-    _star_sql(
+RAW_PLAY = (
+    "artist, auth, firstname, gender, iteminsession, lastname, length, level, location, page, "
+    "sessionid, song, ts, useragent, userid"
+)
+
+
+def _lake_sql(before: str = "", logged: str = "plays") -> str:
+    """The lake star: raw rows that repeat whole are one, everything else stays."""
+    return _star_sql(
         {
             "songplays": f"""
 SELECT *, year({MOMENT}) AS year, month({MOMENT}) AS month FROM (
-  SELECT DISTINCT {MILLIS}, {PLAY_VALUES} FROM plays JOIN songs ON song = title
+  SELECT {MILLIS}, {PLAY_VALUES} FROM (SELECT DISTINCT {RAW_PLAY} FROM {logged})
+  JOIN (SELECT DISTINCT song_id, title, artist_id FROM songs) ON song = title
 )""",
-            "users": DISTINCT_USERS,
+            "users": DISTINCT_USERS.replace("FROM plays", f"FROM {logged}"),
             "songs": _songs("CAST(duration AS DECIMAL(18,5))"),
             "artists": _artists(FIVE),
             "time": f"""
 SELECT start_ms AS ts, start_ms, {CALENDAR}, dayofweek({MOMENT}) + 1 AS weekday
-FROM (SELECT DISTINCT {MILLIS} FROM plays)""",
+FROM (SELECT DISTINCT {MILLIS} FROM {logged})""",
         },
         {
             "songplays": [*PLAYS, "year", "month"],
@@ -206,10 +266,34 @@ FROM (SELECT DISTINCT {MILLIS} FROM plays)""",
             "artists": ARTISTS,
             "time": ["ts", "start_ms", *PARTS],
         },
+        before,
+        NUMBERS_SQL,
     )
-)
+
+
+LAKE_SQL = _lake_sql()
+
+
+@query(LAKE_SQL)
 def load_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded(spark, sf_dir, plans.LAKE, {"songplays": "songplay_id"})
+    return loaded(spark, sf_dir, plans.LAKE)
+
+
+@query(
+    _lake_sql(
+        """, logged AS (
+  SELECT * FROM plays UNION ALL SELECT * FROM plays WHERE event_id % 3 = 0
+  UNION ALL SELECT * REPLACE (iteminsession + 100000 AS iteminsession) FROM plays WHERE event_id % 5 = 0
+)""",
+        "logged",
+    )
+)
+def load_lake_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some raw lines come twice, and some plays differ from others only in their place in the session."""
+    events = raw_events(spark, sf_dir)
+    other = events.filter("event_id % 5 = 0").withColumn("itemInSession", F.col("itemInSession") + 100000)
+    events = events.union(events.filter("event_id % 3 = 0")).unionByName(other)
+    return loaded(spark, sf_dir, plans.LAKE, write_raw_files(spark, sf_dir, events))
 
 
 STAGED_LEFT_PLAYS = f"""
@@ -222,7 +306,7 @@ SELECT start_ms, {CALENDAR}, dayofweek({MOMENT}) AS weekday
 FROM (SELECT DISTINCT {SECONDS} FROM plays)"""
 
 
-@query(
+LEFT_SQL = (
     _star_sql(
         {
             "songplays": STAGED_LEFT_PLAYS,
@@ -240,8 +324,64 @@ FROM (SELECT DISTINCT {SECONDS} FROM plays)"""
         },
     )
 )
+
+
+@query(LEFT_SQL)
 def load_staged_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded(spark, sf_dir, plans.STAGED_LEFT, {})
+    return loaded(spark, sf_dir, plans.STAGED_LEFT)
+
+
+@query(LEFT_SQL)
+def load_csv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as CSV files, the catalogue as JSON files."""
+    return loaded(spark, sf_dir, plans.STAGED_LEFT, write_raw_files(spark, sf_dir, fmt="csv"))
+
+
+@query(INNER_SQL)
+def load_gzip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compressed JSON files."""
+    return loaded(spark, sf_dir, plans.STAGED_INNER, write_raw_files(spark, sf_dir, compression="gzip"))
+
+
+def recreate_and_load(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    """A load put into recreated catalog tables twice, the second time instead of the first."""
+    output, location = load(spark, sf_dir, profile), new_path(spark, "catalog")
+    database = "star_" + location.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}-database'")
+    for _ in range(2):
+        plans.recreate_star(spark, profile, database, location)
+        plans.load_catalog(spark, output, profile, database)
+    parts = []
+    for table in plans.star_tables(profile):
+        rows = spark.read.schema(table.schema).parquet(f"{location}/{table.name}")
+        if table.name == "time" and profile.time_keeps_epoch:
+            rows = rows.select("ts", *[name for name in rows.columns if name != "ts"])
+        if table.name == "songplays" and (profile.play_key == "monotonic" or not profile.numbered_in_order):
+            parts.append(numbers(rows, profile.play_key == "dense"))
+            rows = rows.drop("songplay_id")
+        parts.append(checksum(table.name, rows))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return quality.report(parts)
+
+
+@query(UPSERT_SQL)
+def recreate_and_load_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recreate_and_load(spark, sf_dir, plans.UPSERT)
+
+
+@query(INNER_SQL)
+def recreate_and_load_staged_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recreate_and_load(spark, sf_dir, plans.STAGED_INNER)
+
+
+@query(LAKE_SQL)
+def recreate_and_load_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recreate_and_load(spark, sf_dir, plans.LAKE)
+
+
+@query(LEFT_SQL)
+def recreate_and_load_staged_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recreate_and_load(spark, sf_dir, plans.STAGED_LEFT)
 
 
 @query(f"WITH {BOTH_SQL} {UPSERTED_USERS}")

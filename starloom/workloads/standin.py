@@ -1,6 +1,8 @@
 """The test tables in the shape of a song catalogue and an event log.
 
-- ``part`` is the catalogue: name = title, brand = artist, retail price = duration.
+- ``part`` is the catalogue: name, brand and size = title (the smallest sizes have
+  the name alone, so that a few titles are common), brand = artist, retail price =
+  duration. The artist's name differs from its id.
 - ``events`` is the log: ``purchase`` = play. The part numbered ``props.k`` gives
   its song, length and location, the part numbered like the user its artist, so
   only some plays match a song on title and artist.
@@ -11,7 +13,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.timeparts import epoch_ms
@@ -20,15 +22,17 @@ from starloom.operators.rows import plays_only
 PLAY = "purchase"
 
 # The same in SQL; ``ev`` and ``songs`` are the staged tables.
-EVENTS_SQL = """
+TITLE_SQL = "CASE WHEN {0}p_size <= 2 THEN {0}p_name ELSE {0}p_name || ' ' || {0}p_brand || ' ' || {0}p_size END"
+ARTIST_SQL = "'The ' || {0}p_brand"
+EVENTS_SQL = f"""
 ev AS (
-  SELECT a.p_brand AS artist, 'Logged In' AS auth, c.c_name AS firstname,
+  SELECT {ARTIST_SQL.format('a.')} AS artist, 'Logged In' AS auth, c.c_name AS firstname,
          CAST(c.c_nationkey AS VARCHAR) AS gender,
          hour(e.ts) * 3600 + minute(e.ts) * 60 + second(e.ts) AS iteminsession,
          c.c_mktsegment AS lastname, s.p_retailprice AS length,
          CASE WHEN e.value >= 20 THEN 'paid' ELSE 'free' END AS level,
          s.p_type AS location, e.event_type AS page,
-         e.user_id * 31 + day(e.ts) - 1 AS sessionid, s.p_name AS song,
+         e.user_id * 31 + day(e.ts) - 1 AS sessionid, {TITLE_SQL.format('s.')} AS song,
          epoch_us(e.ts) // 1000 AS ts, e.props AS useragent, e.user_id AS userid,
          e.event_id
   FROM events e
@@ -37,10 +41,10 @@ ev AS (
   LEFT JOIN customer c ON c.c_custkey = e.user_id
 )"""
 PLAYS_SQL = f"{EVENTS_SQL}, plays AS (SELECT * FROM ev WHERE page = '{PLAY}')"
-SONGS_SQL = """
+SONGS_SQL = f"""
 songs AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS song_id, p_name AS title, p_brand AS artist_id,
-         p_brand AS artist_name, p_type AS artist_location, CAST(p_size AS DOUBLE) AS artist_latitude,
+  SELECT CAST(p_partkey AS VARCHAR) AS song_id, {TITLE_SQL.format('')} AS title, p_brand AS artist_id,
+         {ARTIST_SQL.format('')} AS artist_name, p_type AS artist_location, CAST(p_size AS DOUBLE) AS artist_latitude,
          p_retailprice AS artist_longitude, p_retailprice AS duration, p_size AS year
   FROM part
 )"""
@@ -51,6 +55,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def title() -> Column:
+    whole = F.concat_ws(" ", "p_name", "p_brand", F.col("p_size").cast("string"))
+    return F.when(F.col("p_size") <= 2, F.col("p_name")).otherwise(whole)
+
+
+def artist_name() -> Column:
+    return F.concat(F.lit("The "), F.col("p_brand"))
+
+
 def raw_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     return part.select(
@@ -59,9 +72,9 @@ def raw_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").cast("double").alias("artist_latitude"),
         F.col("p_retailprice").alias("artist_longitude"),
         F.col("p_type").alias("artist_location"),
-        F.col("p_brand").alias("artist_name"),
+        artist_name().alias("artist_name"),
         F.col("p_partkey").cast("string").alias("song_id"),
-        F.col("p_name").alias("title"),
+        title().alias("title"),
         F.col("p_retailprice").alias("duration"),
         F.col("p_size").alias("year"),
     )
@@ -83,13 +96,15 @@ def raw_events(spark: SparkSession, sf_dir: str, sides: tuple[str, ...] = SIDES)
     if "song" in sides:
         song = part.select(
             F.col("p_partkey").alias("_song"),
-            F.col("p_name").alias("song"),
+            title().alias("song"),
             F.col("p_retailprice").alias("length"),
             F.col("p_type").alias("location"),
         )
+        # Only parts that events name: few meet many, and few are cheap to send.
+        song = song.join(events.select("_song").distinct(), "_song", "left_semi")
         events = events.join(song, "_song", "left")
     if "artist" in sides:
-        artist = part.select(F.col("p_partkey").alias("userId"), F.col("p_brand").alias("artist"))
+        artist = part.select(F.col("p_partkey").alias("userId"), artist_name().alias("artist"))
         events = events.join(artist, "userId", "left")
     return events.drop("_song")
 

@@ -3,7 +3,8 @@
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from starloom.workloads import oracle_sql, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 

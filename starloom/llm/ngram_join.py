@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.byte_bpe import Shared
 from starloom.llm.components import components
-from starloom.llm.shingles import PART_BYTES, shingle_sets
+from starloom.llm.shingles import PART_BYTES, mix, shingle_sets
 from starloom.llm.tables import only, ship, text_slices
 from starloom.storage import materialize
 
@@ -65,6 +65,17 @@ _ROWS = (
 )
 
 
+def _narrow(entries: np.ndarray) -> bytes:
+    """The low 48 bits of each hash; with the block's number they tell n-grams apart."""
+    return np.ascontiguousarray(entries, "<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _wide(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _common(docs: DataFrame, width: int) -> np.ndarray:
     """Hashes of n-grams that a sample of the documents has in common, in order."""
     ship(docs.sparkSession)
@@ -111,7 +122,7 @@ def _pack(blocks: int, width: int, common: Shared):
             entries = np.concatenate([*sets, np.empty(0, np.uint64)])
             owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
             # Common n-grams pass under a block number of their own, which no block judges.
-            place = (entries >> np.uint64(40)).astype(np.int64) % blocks
+            place = (entries >> np.uint64(32)).astype(np.int64) % blocks
             if len(usual):
                 at = np.minimum(np.searchsorted(usual, entries), len(usual) - 1)
                 place[usual[at] == entries] = -1 - (part + serial) % blocks
@@ -123,7 +134,7 @@ def _pack(blocks: int, width: int, common: Shared):
             for a, b in zip(first, last):
                 which.append(int(place[a]))
                 counts.append(np.bincount(owner[a:b], minlength=n).astype(np.int32).tobytes())
-                values.append(entries[a:b].tobytes())
+                values.append(_narrow(entries[a:b]))
             m = len(which)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -148,8 +159,8 @@ def _pack(blocks: int, width: int, common: Shared):
     return run
 
 
-def _arrays(column: pa.ChunkedArray, dtype) -> list[np.ndarray]:
-    return [np.frombuffer(x, dtype) for x in column.to_pylist()]
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int32) for x in column.to_pylist()]
 
 
 def _keep_shared(rows: pa.Table) -> pa.Table:
@@ -158,7 +169,7 @@ def _keep_shared(rows: pa.Table) -> pa.Table:
     packed = rows.filter(judged)
     if not packed.num_rows:
         return rows
-    counts, entries = _arrays(packed["counts"], np.int32), _arrays(packed["entries"], np.uint64)
+    counts, entries = _arrays(packed["counts"]), [_wide(x) for x in packed["entries"].to_pylist()]
     row_ends, entry_ends = np.cumsum([len(c) for c in counts]), np.cumsum([len(e) for e in entries])
     each, whole = np.concatenate(counts), np.concatenate(entries)
     order = np.argsort(whole)
@@ -168,7 +179,7 @@ def _keep_shared(rows: pa.Table) -> pa.Table:
     shared[order[:-1][same]] = True
     kept = np.bincount(np.repeat(np.arange(len(each)), each)[shared], minlength=len(each)).astype(np.int32)
     new_counts = [kept[e - len(c) : e].tobytes() for c, e in zip(counts, row_ends)]
-    new_entries = [x[shared[e - len(x) : e]].tobytes() for x, e in zip(entries, entry_ends)]
+    new_entries = [_narrow(x[shared[e - len(x) : e]]) for x, e in zip(entries, entry_ends)]
     for name, values in (("counts", new_counts), ("entries", new_entries)):
         packed = packed.set_column(packed.schema.get_field_index(name), name, pa.array(values, pa.binary()))
     packed = packed.filter(pc.greater(pc.binary_length(packed["entries"]), 0))
@@ -182,9 +193,14 @@ def _unpack(percent: int):
         docs = rows.filter(pc.is_valid(rows["row"])).sort_by("row")
         packed = rows.filter(pc.is_valid(rows["entries"]))
         sizes = docs["n"].to_numpy().astype(np.int64)
-        owner = [np.repeat(np.arange(len(sizes)), c) for c in _arrays(packed["counts"], np.int32)]
+        owner = [np.repeat(np.arange(len(sizes)), c) for c in _arrays(packed["counts"])]
         owner = np.concatenate([*owner, np.empty(0, np.int64)]).astype(np.int64)
-        entries = np.concatenate([*_arrays(packed["entries"], np.int64), np.empty(0, np.int64)])
+        # All that passed as common has one number here, whatever way it took.
+        places = [max(block, -1) for block in packed["block"].to_pylist()]
+        entries = [
+            mix(_wide(x) + mix(np.array([place + 1], np.uint64))) for place, x in zip(places, packed["entries"].to_pylist())
+        ]
+        entries = np.concatenate([*entries, np.empty(0, np.uint64)]).view(np.int64)
         entries = entries[np.argsort(owner, kind="stable")]
         shared = np.bincount(owner, minlength=len(sizes))
         ends = np.cumsum(shared)
@@ -298,19 +314,22 @@ def near_groups(
     rows = only(docs, doc_id=id_col, text=text_col)
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     found = materialize(incidence(rows, width, percent), "incidence")
-    similar = found.filter("grams is not null").groupBy("class").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
-    roots = class_links(materialize(similar, "classes"), percent)
-
-    classes = found.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    placed = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "class"))
+    # Only classes that may have links go on, by a short number given where they are stored.
+    similar = found.filter("grams is not null").groupBy("class")
+    similar = similar.agg(F.first("n").alias("n"), F.first("grams").alias("grams"), F.min("doc_id").alias("least"))
+    similar = materialize(similar.withColumn("no", F.monotonically_increasing_id()), "classes")
+    roots = class_links(similar.select(F.col("no").alias("class"), "n", "grams"), percent)
+
+    placed = similar.select("class", "least", F.col("no").alias("node")).join(roots, "node", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "node"))
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(named, "root").select("class", "component_id")
+    named = placed.join(named, "root").select("class", "component_id", F.lit(True).alias("placed"))
+    # A class that cannot have links has one document: copies share all their n-grams.
     return found.drop("grams").join(named, "class", "left").select(
         "doc_id",
         "text_hash",
         F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("placed"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.tables import only, positional, ship, text_slices
+from starloom.llm.tables import only, positional, ship, text_slices, without
 
 #: A rank file may have so many bytes; it is sent to every executor.
 MOST_VOCABULARY_BYTES = 64 << 20
@@ -367,10 +367,11 @@ def encode_texts(df: DataFrame, merges: Merges, pattern: str, text_col: str = "t
     is replaced. Rows keep their number and order within a partition; repeated rows
     get the same ids; an empty table gives an empty one with the column added.
     """
-    keep = [name for name in df.columns if name != ids_col]
+    df = without(df, ids_col)
+    keep = df.columns
     shared = Shared(df.sparkSession, merges)
     at = keep.index(text_col)
-    inner = positional(df.select(*[f"`{name}`" for name in keep])) if keep != df.columns else positional(df)
+    inner = positional(df)
     schema = T.StructType([*inner.schema.fields, T.StructField("_ids", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,10 +400,11 @@ def decode_ids(df: DataFrame, merges: Merges, ids_col: str = "ids", bytes_col: s
     Ids that the vocabulary does not have end the job with a KeyError. A column
     called ``bytes_col`` is replaced.
     """
-    keep = [name for name in df.columns if name != bytes_col]
+    df = without(df, bytes_col)
+    keep = df.columns
     shared = Shared(df.sparkSession, merges)
     at = keep.index(ids_col)
-    inner = positional(df.select(*[f"`{name}`" for name in keep])) if keep != df.columns else positional(df)
+    inner = positional(df)
     schema = T.StructType([*inner.schema.fields, T.StructField("_bytes", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.tables import let, only
+from starloom.llm.tables import let, only, positional
 from starloom.storage import materialize
 
 WORD = r"[^\x20\x09-\x0D]"
@@ -293,5 +293,6 @@ def judge(docs: DataFrame, rules: DecisionList, id_col: str = "doc_id", text_col
 
 def keep_good(docs: DataFrame, rules: DecisionList, text_col: str = "text") -> DataFrame:
     """``docs`` without those that the base rules or the list reject; columns as they are."""
-    text = F.col(f"`{text_col}`") if docs.columns.count(text_col) == 1 else docs[text_col]
-    return docs.filter(let(statistics(text), lambda s: ~base_failed(s) & rules.rule(s).isNull()))
+    text = F.col(f"_c{docs.columns.index(text_col)}")
+    good = let(statistics(text), lambda s: ~base_failed(s) & rules.rule(s).isNull())
+    return positional(docs).filter(good).toDF(*docs.columns)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.byte_bpe import Shared
-from starloom.llm.tables import only, positional, text_slices
+from starloom.llm.tables import only, positional, text_slices, without
 
 WINDOW = 13
 BLOCK_WORDS = 1 << 20
@@ -202,9 +202,7 @@ def find_hits(
 
     Spans (``start``, ``stop``) of one document do not touch; items are distinct and in order.
     """
-    for taken in ("n_words", "spans", "items"):
-        if taken in docs.columns:
-            docs = docs.drop(taken)
+    docs = without(docs, "n_words", "spans", "items")
     names, at = docs.columns, docs.columns.index(text_col)
     out = positional(docs)
     fields = "_n bigint, _spans array<struct<start:int,stop:int>>, _items array<string>"

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.tables import SPACES, let, positional
+from starloom.llm.tables import SPACES, let, positional, without
 
 SIZE = 3
 _TRIM = SPACES.replace("\n", "")
@@ -104,8 +104,8 @@ def dedup_lines(
 
     A column called ``removed_col`` is replaced.
     """
-    names = [name for name in docs.columns if name != removed_col]
-    inner = positional(docs.select(*[F.col(f"`{n}`") for n in names])) if names != docs.columns else positional(docs)
+    docs = without(docs, removed_col)
+    names, inner = docs.columns, positional(docs)
     key, text = f"_c{names.index(id_col)}", f"_c{names.index(text_col)}"
     inner = inner.withColumn("_h", F.xxhash64(text))
     cuts = covered(inner.select(F.col(key).alias("doc_id"), F.col("_h").alias("th"), F.col(text).alias("text")))

@@ -44,6 +44,12 @@ def positional(df: DataFrame) -> DataFrame:
     return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` less the columns of exactly these names."""
+    keep = [i for i, name in enumerate(df.columns) if name not in names]
+    return positional(df).select(*[f"_c{i}" for i in keep]).toDF(*[df.columns[i] for i in keep])
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once.
 

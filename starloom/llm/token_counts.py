@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.byte_bpe import MOST_VOCABULARY_BYTES, Merges, PieceCache, Shared, parts_of, worker_copy
-from starloom.llm.tables import only, text_slices
+from starloom.llm.tables import only, positional, text_slices
 
 
 def printable_bytes() -> dict[str, int]:
@@ -184,4 +184,5 @@ def truncate(
         counter = worker_copy(shared, lambda m: Counter(m, pattern, special))
         return texts.map(lambda t: t if t is None else t[: counter.prefixes(t).longest_within(budget)])
 
-    return docs.withColumn(text_col, cut(F.col(text_col)))
+    at = f"_c{docs.columns.index(text_col)}"
+    return positional(docs).withColumn(at, cut(F.col(at))).toDF(*docs.columns)

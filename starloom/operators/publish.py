@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.operators.load import write_table
+from starloom.storage import children, remove
 
 LOG = "_published"
 LOG_SCHEMA = "sequence long, table_name string, versions array<string>, columns string"
 VERSION = "version"
+STAGING = "_staging"
 
 
 @dataclass(frozen=True)
@@ -99,6 +101,40 @@ def publish(
     spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
 
 
+def compact(
+    spark: SparkSession, root: str, table: str, version: str, partition_by: Sequence[str] = ()
+) -> None:
+    """Put all versions of a table into one, ``version``, and make that current."""
+    now = current(spark, root)[table]
+    if len(now.versions) > 1:
+        rows = read_versions(spark, root, table, now.versions, now.schema)
+        write_version(rows, root, table, version, partition_by)
+        publish(spark, root, version, {table: "overwrite"}, {table: now.schema})
+
+
+def vacuum(spark: SparkSession, root: str) -> list[str]:
+    """Remove what no reader needs any more; gives what was removed.
+
+    These are versions that were replaced, compacted or never published, staged raw
+    files, and log entries that later ones replace. Only while no load is running,
+    and when no reader still works on an older version.
+    """
+    gone = []
+    for table, state in current(spark, root).items():
+        names = children(spark, f"{root}/{table}")
+        kept = {f"{VERSION}={version}" for version in state.versions}
+        gone += [f"{table}/{name}" for name in names if name.startswith(f"{VERSION}=") and name not in kept]
+    gone += [f"{STAGING}/{name}" for name in children(spark, f"{root}/{STAGING}")]
+    entries = _log(spark, root).select("table_name", "sequence", F.col("_metadata.file_name").alias("file"))
+    latest = entries.groupBy("table_name").agg(F.max(F.struct("sequence", "file")).alias("last"))
+    needed = {row.file for row in latest.select("last.file").distinct().collect()}
+    logged = [name for name in children(spark, f"{root}/{LOG}") if name.startswith("part-")]
+    gone += [f"{LOG}/{name}" for name in logged if name not in needed]
+    for path in gone:
+        remove(spark, f"{root}/{path}")
+    return gone
+
+
 def read_versions(
     spark: SparkSession, root: str, table: str, versions: Sequence[str], schema: StructType
 ) -> DataFrame:

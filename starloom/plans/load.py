@@ -60,7 +60,7 @@ def run(
     what they had.
     """
     version = version or uuid.uuid4().hex
-    staging = f"{output}/_staging/{version}"
+    staging = f"{output}/{publish.STAGING}/{version}"
     staged: dict[str, DataFrame] = {}
 
     def stage_files(name: str, path: str, fmt: str, paths, glob, typed, raw) -> None:

@@ -37,3 +37,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _at(spark: SparkSession, path: str):
+    """The file system that ``path`` is on, and the path in its terms."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and directories in a directory; none if it does not exist."""
+    system, place = _at(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(place))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a directory with all it holds."""
+    system, place = _at(spark, path)
+    system.delete(place, True)

@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from starloom.operators import dims, publish
+from starloom import schemas
+from starloom.operators import dims, publish, quality
 from starloom.operators.rows import distinct_rows, plays_only
 from starloom.operators.upsert import merge_states, rows_of
 from starloom.plans.profiles import Profile
-from starloom.plans.star import build_songplays, build_time
+from starloom.plans.star import build_catalogue, build_songplays, build_time
 from starloom.sources.staging import read_staged, typed, write_staged
+from starloom.storage import children, remove
 
 BATCH = "batch_id"
+COMPACTED = ("users", "time", "songplays")
 
 
 def load_available(
@@ -66,45 +69,102 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class IncrementalStar:
-    """Plays, users and time kept up to date batch by batch.
+    """The star kept up to date batch by batch.
 
-    Each batch adds its own files and touches nothing stored before: its plays,
-    its distinct times, and one state per user. Reading merges the states into
+    Each batch adds its own files and touches nothing stored before: raw songs, or
+    plays, distinct times, and one state per user. Reading merges the states into
     the first names seen and the last level, by event time, whatever order the
-    batches came in. :meth:`compact_users` replaces many small states by one table.
+    batches came in. Plays are matched with the songs that are known when they come.
+    :meth:`compact` replaces many small batches by one table and :meth:`vacuum`
+    removes them.
 
     Plays need a key that a repeated batch gives again, so ``profile`` must use
-    the hash key.
+    the hash key. With ``checked`` every batch of events leaves a quality report, and
+    ends in an error if a table has no rows.
     """
 
     root: str
     profile: Profile
     event_schema: StructType
     order: Sequence[str] = dims.EVENT_ORDER
+    checked: bool = False
 
     def __post_init__(self) -> None:
         if self.profile.play_key != "hash":
             raise ValueError("repeated batches need the hash key")
 
+    def song_loader(self, spark: SparkSession) -> Callable[[DataFrame, int], None]:
+        """The function that takes batches of raw songs."""
+
+        def apply_batch(songs: DataFrame, batch_id: int) -> None:
+            target = f"{self.root}/staged_songs/{BATCH}={batch_id}"
+            write_staged(typed(songs, schemas.STAGED_SONG), target)
+            staged = read_staged(spark, target, schemas.STAGED_SONG).rows
+            write_batch(distinct_rows(staged), f"{self.root}/raw_songs", batch_id)
+
+        return apply_batch
+
+    def raw_songs(self, spark: SparkSession) -> DataFrame:
+        """Distinct raw rows of all batches of songs."""
+        return distinct_rows(self._stored(spark, "raw_songs")).select(*schemas.STAGED_SONG.names)
+
+    def songs(self, spark: SparkSession) -> DataFrame:
+        return build_catalogue(self.raw_songs(spark), self.profile)["songs"]
+
+    def artists(self, spark: SparkSession) -> DataFrame:
+        return build_catalogue(self.raw_songs(spark), self.profile)["artists"]
+
     def loader(
-        self, raw_songs: DataFrame, catalogue: dict[str, DataFrame]
+        self,
+        raw_songs: DataFrame | None = None,
+        catalogue: dict[str, DataFrame] | None = None,
+        spark: SparkSession | None = None,
     ) -> Callable[[DataFrame, int], None]:
-        """The function to hand to :func:`load_available`."""
+        """The function that takes batches of events, to hand to :func:`load_available`.
+
+        Without ``raw_songs`` the songs are those of the batches loaded so far, in
+        the session ``spark``.
+        """
+        if raw_songs is None and spark is None:
+            raise ValueError("either the songs or the session is needed")
 
         def apply_batch(events: DataFrame, batch_id: int) -> None:
             # Parsed once, then read by each table with only the columns it needs, in
             # the caller's session: a streaming batch comes in one of its own.
+            session = spark or raw_songs.sparkSession
             target = f"{self.root}/staging/{BATCH}={batch_id}"
             write_staged(typed(events, self.event_schema), target)
-            staged = read_staged(raw_songs.sparkSession, target, self.event_schema).rows
-            plays = build_songplays(staged, raw_songs, catalogue, self.profile)
+            staged = read_staged(session, target, self.event_schema).rows
+            songs = self.raw_songs(session) if raw_songs is None else raw_songs
+            known = catalogue or build_catalogue(songs, self.profile)
+            plays = build_songplays(staged, songs, known, self.profile)
             plays = write_batch(plays, f"{self.root}/songplays", batch_id)
             users = dims.users_state(plays_only(staged, self.profile.play_page), self.order)
             write_batch(users, f"{self.root}/users", batch_id)
-            write_batch(build_time(staged, plays, self.profile), f"{self.root}/time", batch_id)
+            time = write_batch(build_time(staged, plays, self.profile), f"{self.root}/time", batch_id)
+            if self.checked:
+                self._check(session, batch_id, known, plays, time)
 
         return apply_batch
 
+    def _check(self, spark: SparkSession, batch_id: int, known: dict[str, DataFrame], plays, time) -> None:
+        # A batch may bring no play; what readers see must have rows.
+        whole = {name: getattr(self, name)(spark) for name in COMPACTED}
+        key = next(k for k in schemas.SONGPLAYS.foreign_keys if k.table == "time")
+        report = quality.report(
+            [
+                quality.check_not_empty({**known, **whole}),
+                quality.check_not_null("songplays", plays, plays.columns),
+                quality.check_foreign_key("songplays", plays, time, key),
+            ]
+        )
+        found = write_batch(report, f"{self.root}/quality", batch_id)
+        quality.require(found.filter(F.col("check_name") != "not_null"))
+
+    def reports(self, spark: SparkSession) -> DataFrame:
+        """The quality reports of all batches of events."""
+        return self._batches(spark, "quality")
+
     def _batches(self, spark: SparkSession, table: str) -> DataFrame:
         stored = spark.read.option("basePath", f"{self.root}/{table}").parquet(f"{self.root}/{table}")
         return stored.withColumn(BATCH, F.col(BATCH).cast(LongType()))
@@ -114,36 +174,65 @@ class IncrementalStar:
         return read_staged(spark, f"{self.root}/staging", self.event_schema).rejected
 
     def songplays(self, spark: SparkSession) -> DataFrame:
-        return self._batches(spark, "songplays").drop(BATCH)
+        return self._stored(spark, "songplays")
 
     def time(self, spark: SparkSession) -> DataFrame:
         """Calendar rows; a time that several batches met appears once."""
-        return distinct_rows(self._batches(spark, "time").drop(BATCH))
+        return distinct_rows(self._stored(spark, "time"))
 
     def users(self, spark: SparkSession) -> DataFrame:
         """One row per user as of all batches so far."""
-        return rows_of(self._user_states(spark), ["user_id"], dims.USER_KEEP, dims.USER_UPDATE)
-
-    def _user_states(self, spark: SparkSession, through: int | None = None) -> DataFrame:
-        """One state per user from the base table and the batches after it."""
-        states = self._batches(spark, "users")
-        base = publish.current(spark, self.root).get("users_base")
+        states = merge_states(self._stored(spark, "users"), ["user_id"])
+        return rows_of(states, ["user_id"], dims.USER_KEEP, dims.USER_UPDATE)
+
+    def _base(self, spark: SparkSession, table: str) -> publish.Published | None:
+        return publish.current(spark, self.root).get(f"{table}_base")
+
+    def _stored(self, spark: SparkSession, table: str, through: int | None = None) -> DataFrame:
+        """Rows of the compacted table and of the batches after it."""
+        base = self._base(spark, table)
+        if base and children(spark, f"{self.root}/{table}") == []:
+            return publish.read_published(spark, self.root, f"{table}_base")
+        rows = self._batches(spark, table)
         if base:
-            states = states.filter(F.col(BATCH) > int(base.versions[0]))
+            rows = rows.filter(F.col(BATCH) > int(base.versions[0]))
         if through is not None:
-            states = states.filter(F.col(BATCH) <= through)
-        states = states.drop(BATCH)
+            rows = rows.filter(F.col(BATCH) <= through)
+        rows = rows.drop(BATCH)
         if base:
-            states = publish.read_published(spark, self.root, "users_base").unionByName(states)
-        return merge_states(states, ["user_id"])
+            rows = publish.read_published(spark, self.root, f"{table}_base").unionByName(rows)
+        return rows
+
+    def compact(self, spark: SparkSession, through: int, tables: Sequence[str] = COMPACTED) -> None:
+        """Fold all batches up to ``through`` into one table each, without what repeats."""
+        for table in tables:
+            base = self._base(spark, table)
+            if base and int(base.versions[0]) >= through:
+                continue
+            rows = self._stored(spark, table, through)
+            if table == "users":
+                rows = merge_states(rows, ["user_id"])
+            elif table == "time":
+                rows = distinct_rows(rows)
+            publish.write_version(rows, self.root, f"{table}_base", str(through))
+            name = f"{table}_base"
+            publish.publish(spark, self.root, str(through), {name: "overwrite"}, {name: rows.schema})
 
     def compact_users(self, spark: SparkSession, through: int) -> None:
         """Fold the user states of all batches up to ``through`` into one table."""
-        base = publish.current(spark, self.root).get("users_base")
-        if base and int(base.versions[0]) >= through:
-            return
-        states = self._user_states(spark, through)
-        publish.write_version(states, self.root, "users_base", str(through))
-        publish.publish(
-            spark, self.root, str(through), {"users_base": "overwrite"}, {"users_base": states.schema}
-        )
+        self.compact(spark, through, ("users",))
+
+    def vacuum(self, spark: SparkSession) -> list[str]:
+        """Remove batches that have been compacted, and earlier compactions; gives what was removed.
+
+        A batch that has been removed must not be handed over again.
+        """
+        gone = publish.vacuum(spark, self.root)
+        for table in COMPACTED:
+            base = self._base(spark, table)
+            done = int(base.versions[0]) if base else -1
+            for name in children(spark, f"{self.root}/{table}"):
+                if name.startswith(f"{BATCH}=") and int(name.partition("=")[2]) <= done:
+                    remove(spark, f"{self.root}/{table}/{name}")
+                    gone.append(f"{table}/{name}")
+        return gone

@@ -47,6 +47,19 @@ def fact_inner_title_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "song", "song_id", "artist_id")
 
 
+@query(TITLE_SQL)
+def fact_inner_title_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``fact_inner_title_spread``, with both sides large enough, by hint, to be shuffled."""
+    rows = match(
+        plays(spark, sf_dir, ("song",)),
+        raw_songs(spark, sf_dir).hint("merge"),
+        [TITLE],
+        hot_share=0.01,
+        spread=16,
+    )
+    return rows.select("event_id", "song", "song_id", "artist_id")
+
+
 @query(
     f"""
 WITH {BOTH_SQL}

@@ -18,7 +18,7 @@ from starloom.sources import (
     scan_parquet,
     stage,
 )
-from starloom.storage import new_path
+from starloom.storage import children, new_path
 from starloom.workloads.registry import query
 from starloom.workloads.standin import table
 
@@ -55,15 +55,14 @@ def scan_json_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT true AS file_per_type, count(*) AS rows FROM events"""
+SELECT count(DISTINCT event_type) AS files, count(*) AS rows FROM events"""
 )
 def scan_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each of the five event types has at least one file; how many depends on the cluster."""
+    """One file for each type of event, each written by the one task that has all of its rows."""
     root = new_path(spark, "json-count")
     events = _events(spark, sf_dir).withColumn("kind", F.col("event_type"))
-    events.write.partitionBy("kind").json(root)
-    counts = file_count(scan_json(spark, root, EVENT, corrupt_column=None))
-    return counts.select((F.col("files") >= 5).alias("file_per_type"), "rows")
+    events.repartition(5, "kind").write.partitionBy("kind").json(root)
+    return file_count(scan_json(spark, root, EVENT, corrupt_column=None))
 
 
 @query(
@@ -173,11 +172,11 @@ def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(ORDERS_SQL)
 def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fact that grows by one load per order status."""
+    """A fact that grows by three loads, which split the orders by key."""
     orders = _orders(spark, sf_dir)
     root = new_path(spark, "append")
-    for status in ("F", "O", "P"):
-        append_fact(orders.filter(F.col("o_orderstatus") == status), root)
+    for part in range(3):
+        append_fact(orders.filter(F.pmod("o_orderkey", F.lit(3)) == part), root)
     return scan_parquet(spark, root, orders.schema)
 
 
@@ -231,6 +230,30 @@ def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, write_orders_by_month(spark, sf_dir))
 
 
+@query(
+    """
+SELECT p_partkey AS song_id, p_name AS title, p_retailprice AS duration, p_size AS year, p_brand AS artist_id
+FROM part WHERE p_partkey % 2 = 0
+UNION ALL
+SELECT p_partkey, p_name, p_retailprice, p_size, p_brand
+FROM part WHERE p_partkey % 2 = 1 AND (p_size, p_brand) NOT IN (SELECT p_size, p_brand FROM part WHERE p_partkey % 2 = 0)"""
+)
+def parquet_by_year_and_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Songs partitioned by year and artist; a second load replaces the partitions that it has rows for."""
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("song_id"),
+        F.col("p_name").alias("title"),
+        F.col("p_retailprice").alias("duration"),
+        F.col("p_size").alias("year"),
+        F.col("p_brand").alias("artist_id"),
+    )
+    root = new_path(spark, "by-artist")
+    for rest, touched in ((1, False), (0, True)):
+        rows = part.filter(F.col("song_id") % 2 == rest)
+        write_table(rows, root, partition_by=["year", "artist_id"], only_touched_partitions=touched)
+    return scan_parquet(spark, root, part.schema)
+
+
 @query(
     """
 SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 5"""
@@ -289,6 +312,20 @@ def publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@query("SELECT *, CAST(1 AS BIGINT) AS versions FROM (" + ORDERS_SQL + ")")
+def publish_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact of four appended versions, put into one; what is not read any more is removed."""
+    root, orders = new_path(spark, "compacted"), _orders(spark, sf_dir)
+    for part in range(4):
+        rows = orders.filter(F.pmod("o_orderkey", F.lit(4)) == part)
+        publish.write_version(rows, root, "orders", str(part))
+        publish.publish(spark, root, str(part), {"orders": "append"}, {"orders": orders.schema})
+    publish.compact(spark, root, "orders", "whole")
+    publish.vacuum(spark, root)
+    versions = len(children(spark, f"{root}/orders"))
+    return publish.read_published(spark, root, "orders").withColumn("versions", F.lit(versions).cast("long"))
+
+
 @query("SELECT s_suppkey, s_name FROM supplier")
 def recreate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog tables dropped, created, filled by name, emptied and filled again."""

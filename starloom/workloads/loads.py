@@ -384,6 +384,146 @@ def recreate_and_load_staged_left(spark: SparkSession, sf_dir: str) -> DataFrame
     return recreate_and_load(spark, sf_dir, plans.STAGED_LEFT)
 
 
+# Two loads whose files overlap: of the first twenty days against two thirds of the songs, then of
+# all days after the twelfth against all songs. Some events have no time; names change every ten days.
+RELOAD_SQL = f""", dated AS (
+  SELECT * REPLACE (CASE WHEN event_id % 100 = 7 THEN NULL ELSE ts END AS ts,
+                    firstname || ' ' || (d // 10) AS firstname)
+  FROM (SELECT *, day(make_timestamp(ts * 1000)) AS d FROM ev)
+),
+e1 AS (SELECT * FROM dated WHERE d <= 20), e2 AS (SELECT * FROM dated WHERE d > 12),
+p1 AS (SELECT * FROM e1 WHERE page = '{PLAY}'), p2 AS (SELECT * FROM e2 WHERE page = '{PLAY}'),
+s1 AS (SELECT * FROM songs WHERE CAST(song_id AS BIGINT) % 3 <> 0)"""
+
+
+def reloaded(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    day = F.dayofmonth(start_time("ts"))
+    events = raw_events(spark, sf_dir).withColumn("_day", day).withColumns(
+        {
+            "firstName": F.concat("firstName", F.lit(" "), F.floor(day / 10).cast("string")),
+            "ts": F.when(F.col("event_id") % 100 != 7, F.col("ts")),
+        }
+    )
+    songs = raw_songs(spark, sf_dir)
+    output = new_path(spark, f"star-{profile.name}")
+    loads = [
+        (events.filter("_day <= 20"), songs.filter("CAST(song_id AS BIGINT) % 3 <> 0")),
+        (events.filter("_day > 12"), songs),
+    ]
+    for some_events, some_songs in loads:
+        sources = write_raw_files(spark, sf_dir, some_events, some_songs)
+        plans.run(spark, sources, output, replace(profile, play_page=PLAY, check=True))
+    return star_checksums(spark, output, profile)
+
+
+def _both(sql: str) -> str:
+    """The rows that each of the two loads adds."""
+    second = sql.replace("p1", "p2").replace("e1", "e2").replace("s1", "songs")
+    return f"{sql} UNION ALL {second}"
+
+
+def _first_match(load: int, plays: str, songs: str) -> str:
+    return f"""
+SELECT {load} AS part, {MILLIS}, iteminsession, {PLAY_VALUES}
+FROM {plays} LEFT JOIN (
+  SELECT title, artist_name, CAST(duration AS DECIMAL(18,5)) AS whole, min(song_id) AS song_id,
+         min(artist_id) AS artist_id FROM {songs} GROUP BY ALL
+) ON song = title AND artist = artist_name AND CAST(length AS DECIMAL(18,5)) = whole"""
+
+
+def _user(plays: str, columns: str, order: str) -> str:
+    return f"""(
+  SELECT userid AS user_id, {columns} FROM {plays}
+  QUALIFY row_number() OVER (PARTITION BY userid ORDER BY {order}) = 1)"""
+
+
+FIRST = "ts NULLS FIRST, sessionid, iteminsession, firstname NULLS FIRST, lastname, gender"
+NEWEST = "ts DESC NULLS LAST, sessionid DESC, iteminsession DESC, level DESC"
+NAMES = "firstname AS first_name, lastname AS last_name, gender"
+STAR_COLUMNS = {
+    "songplays": PLAYS,
+    "users": USERS,
+    "songs": SONGS,
+    "artists": ARTISTS,
+    "time": ["start_ms", *PARTS],
+}
+
+
+@query(
+    _star_sql(
+        {
+            "songplays": f"""
+SELECT row_number() OVER (ORDER BY part, start_ms NULLS FIRST, session_id, iteminsession,
+                                   song_id NULLS FIRST, artist_id NULLS FIRST) AS songplay_id, *
+FROM ({_first_match(1, 'p1', 's1')} UNION ALL {_first_match(2, 'p2', 'songs')})""",
+            "users": f"""
+SELECT user_id, coalesce(a.first_name, b.first_name) AS first_name,
+       coalesce(a.last_name, b.last_name) AS last_name, coalesce(a.gender, b.gender) AS gender,
+       coalesce(d.level, c.level) AS level
+FROM {_user('p1', NAMES, FIRST)} a FULL JOIN {_user('p2', NAMES, FIRST)} b USING (user_id)
+LEFT JOIN {_user('p1', 'level', NEWEST)} c USING (user_id)
+LEFT JOIN {_user('p2', 'level', NEWEST)} d USING (user_id)""",
+            "songs": _songs("CAST(duration AS DECIMAL(18,5))"),
+            "artists": """
+SELECT artist_id, min(artist_name) AS name, arg_max(artist_location, song_id) AS location,
+       CAST(arg_max(artist_latitude, song_id) AS DECIMAL(18,5)) AS latitude,
+       CAST(arg_max(artist_longitude, song_id) AS DECIMAL(18,5)) AS longitude
+FROM songs GROUP BY artist_id""",
+            "time": f"""
+SELECT start_ms, {CALENDAR}, dayname({MOMENT}) AS weekday
+FROM (SELECT {MILLIS} FROM p1 UNION SELECT {MILLIS} FROM p2) WHERE start_ms IS NOT NULL""",
+        },
+        STAR_COLUMNS | {"songplays": ["songplay_id", *PLAYS]},
+        RELOAD_SQL,
+    )
+)
+def reload_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimensions merge, the fact grows and its numbers go on."""
+    return reloaded(spark, sf_dir, plans.UPSERT)
+
+
+@query(
+    _star_sql(
+        {
+            "songplays": _both(
+                f"SELECT {SECONDS}, {PLAY_VALUES} FROM p1 JOIN s1 ON artist = artist_name AND song = title"
+            ),
+            "users": _both(DISTINCT_USERS.replace("FROM plays", "FROM p1")),
+            "songs": _both(_songs("CAST(duration AS DECIMAL(18,0))").replace("FROM songs", "FROM s1")),
+            "artists": _both(_artists(FIVE).replace("FROM songs", "FROM s1")),
+            "time": _both(
+                f"SELECT start_ms, {CALENDAR}, rpad(dayname({MOMENT}), 9, ' ') AS weekday "
+                f"FROM (SELECT DISTINCT {SECONDS} FROM e1) WHERE start_ms IS NOT NULL"
+            ),
+        },
+        STAR_COLUMNS,
+        RELOAD_SQL,
+        NUMBERS_SQL,
+    )
+)
+def reload_staged_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every load adds its rows to all tables."""
+    return reloaded(spark, sf_dir, plans.STAGED_INNER)
+
+
+@query(
+    _star_sql(
+        {
+            "songplays": STAGED_LEFT_PLAYS.replace("FROM plays", "FROM p2"),
+            "users": DISTINCT_USERS.replace("FROM plays", "FROM p2"),
+            "songs": _songs("CAST(trunc(duration) AS DECIMAL(18,0))"),
+            "artists": _artists("trunc({}) AS DECIMAL(18,0)"),
+            "time": STAGED_LEFT_TIME.replace("FROM plays", "FROM p2 WHERE ts IS NOT NULL"),
+        },
+        STAR_COLUMNS | {"songplays": ["songplay_id", *PLAYS]},
+        RELOAD_SQL,
+    )
+)
+def reload_staged_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load replaces the first."""
+    return reloaded(spark, sf_dir, plans.STAGED_LEFT)
+
+
 @query(f"WITH {BOTH_SQL} {UPSERTED_USERS}")
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users after four loads, the first two of them compacted."""
@@ -406,6 +546,12 @@ def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arrive(spark: SparkSession, rows: DataFrame, source: str, checkpoint: str, apply_batch) -> None:
+    """Files that arrive, and the load that takes them."""
+    rows.write.mode("append").parquet(source)
+    load_available(spark, source, rows.schema, checkpoint, apply_batch, fmt="parquet", glob="*.parquet")
+
+
 def incremental_star(spark: SparkSession, sf_dir: str) -> IncrementalStar:
     """The log arriving in four parts of about a week, each followed by a load."""
     profile = replace(plans.STAGED_LEFT, play_page=PLAY)
@@ -414,12 +560,89 @@ def incremental_star(spark: SparkSession, sf_dir: str) -> IncrementalStar:
     star = IncrementalStar(root, profile, schemas.STAGED_EVENT)
     songs = raw_songs(spark, sf_dir)
     apply_batch = star.loader(songs, build_catalogue(songs, profile))
-    events = raw_events(spark, sf_dir)
-    week = F.floor((F.dayofmonth(start_time("ts")) - 1) / 8)
     for part in range(4):
-        arrived = conform(events.filter(week == part), schemas.STAGED_EVENT)
-        arrived.write.mode("append").parquet(source)
-        load_available(
-            spark, source, schemas.STAGED_EVENT, checkpoint, apply_batch, fmt="parquet", glob="*.parquet"
-        )
+        arrive(spark, week(spark, sf_dir, part), source, checkpoint, apply_batch)
+    return star
+
+
+def week(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    number = F.floor((F.dayofmonth(start_time("ts")) - 1) / 8)
+    return conform(raw_events(spark, sf_dir).filter(number == part), schemas.STAGED_EVENT)
+
+
+WEEKS_SQL = f""", weeks AS (SELECT *, (day(make_timestamp(ts * 1000)) - 1) // 8 AS w FROM ev),
+w1 AS (SELECT * FROM weeks WHERE w < 2 AND page = '{PLAY}'),
+w2 AS (SELECT * FROM weeks WHERE w >= 2 AND page = '{PLAY}'),
+s1 AS (SELECT * FROM songs WHERE CAST(song_id AS BIGINT) % 2 = 0)"""
+
+
+def _growing_star(spark: SparkSession, sf_dir: str, checked: bool = False) -> IncrementalStar:
+    """Half of the songs, two weeks of the log, the other songs, and the rest of the log."""
+    profile = replace(plans.STAGED_LEFT, play_page=PLAY)
+    star = IncrementalStar(new_path(spark, "incremental"), profile, schemas.STAGED_EVENT, checked=checked)
+    songs_at, events_at = new_path(spark, "songs"), new_path(spark, "events")
+    seen_songs, seen_events = new_path(spark, "stream"), new_path(spark, "stream")
+    songs = conform(raw_songs(spark, sf_dir), schemas.STAGED_SONG)
+    half = F.col("song_id").cast("long") % 2
+    for rest, weeks in ((0, (0, 1)), (1, (2, 3))):
+        arrive(spark, songs.filter(half == rest), songs_at, seen_songs, star.song_loader(spark))
+        both = week(spark, sf_dir, weeks[0]).union(week(spark, sf_dir, weeks[1]))
+        arrive(spark, both, events_at, seen_events, star.loader(spark=spark))
     return star
+
+
+def _left_plays(plays: str, songs: str) -> str:
+    return STAGED_LEFT_PLAYS.replace("FROM plays LEFT JOIN songs", f"FROM {plays} LEFT JOIN {songs}")
+
+
+@query(
+    _star_sql(
+        {
+            "songplays": f"{_left_plays('w1', 's1')} UNION ALL {_left_plays('w2', 'songs')}",
+            "users": UPSERTED_USERS,
+            "songs": _songs("CAST(trunc(duration) AS DECIMAL(18,0))"),
+            "artists": _artists("trunc({}) AS DECIMAL(18,0)"),
+            "time": STAGED_LEFT_TIME,
+        },
+        STAR_COLUMNS | {"songplays": ["songplay_id", *PLAYS]},
+        WEEKS_SQL,
+    )
+)
+def incremental_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Songs arrive too; plays find those that are there. Then all is compacted and the batches removed."""
+    star = _growing_star(spark, sf_dir)
+    star.compact(spark, through=0)
+    star.vacuum(spark)
+    star.compact(spark, through=1)
+    star.vacuum(spark)
+    return quality.report([checksum(name, getattr(star, name)(spark)) for name in TABLES])
+
+
+CHECKED = ("songplay_id", "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent")
+
+
+def _checked_sql() -> str:
+    """One row per batch and check; most columns are never NULL, songs are where nothing matched."""
+    parts = []
+    for batch, (plays, songs) in enumerate((("w1", "s1"), ("w2", "songs"))):
+        parts += [
+            f"SELECT {batch} AS batch_id, '{name}' AS table_name, 'not_empty' AS check_name, '' AS detail, "
+            f"CAST((count(*) = 0) AS BIGINT) AS failing_rows FROM {of}"
+            for name, of in (("songplays", plays), ("users", plays), ("time", plays), ("songs", songs), ("artists", songs))
+        ]
+        fact = _left_plays(plays, songs).replace("start_ms", "start_time")
+        parts += [
+            f"SELECT {batch}, 'songplays', 'not_null', '{column}', count(*) FILTER ({column} IS NULL) FROM ({fact})"
+            for column in CHECKED
+        ]
+        parts.append(
+            f"SELECT {batch}, 'songplays', 'foreign_key', 'start_time -> time.start_time', "
+            f"count(*) FILTER (start_time NOT IN (SELECT (ts // 1000) * 1000 FROM {plays})) FROM ({fact})"
+        )
+    return f"WITH {BOTH_SQL}{WEEKS_SQL}\nSELECT *, failing_rows = 0 AS passed FROM ({' UNION ALL '.join(parts)})"
+
+
+@query(_checked_sql())
+def incremental_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report of every batch."""
+    return _growing_star(spark, sf_dir, checked=True).reports(spark)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.operators.lookup import (
     SESSION_ITEM,
@@ -13,6 +14,9 @@ from starloom.operators.lookup import (
     read_lookup,
     write_lookup,
 )
+from starloom.plans import load_lookups, stage_listens
+from starloom.schemas import RAW_EVENT_CSV
+from starloom.sources import conform
 from starloom.storage import new_path
 from starloom.workloads.registry import query
 from starloom.workloads.standin import LISTEN_ORDER, LISTENS_SQL, listens
@@ -52,6 +56,33 @@ def lookup_song_users_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_lookup(spark, sf_dir, SONG_USERS)
 
 
+def _staged_sql(lookup: Lookup) -> str:
+    """As :func:`_sql`, where only the staged columns tell rows apart."""
+    return _sql(lookup).replace("l_shipdate DESC, l_partkey DESC, l_suppkey DESC, ", "")
+
+
+def staged_lookup(spark: SparkSession, sf_dir: str, lookup: Lookup) -> DataFrame:
+    """CSV logs, staged as one quoted CSV table, read again and stored as a lookup table."""
+    source = new_path(spark, "csv-log")
+    heard = listens(spark, sf_dir)
+    unknown = {f.name: F.lit(None).cast(f.dataType) for f in RAW_EVENT_CSV if f.name not in heard.columns}
+    logged = conform(heard.withColumns(unknown), RAW_EVENT_CSV)
+    logged.write.options(header="true", escape='"').csv(source)
+    staged = stage_listens(spark, source, new_path(spark, "staged"), quoted_newlines=False)
+    paths = load_lookups(staged, new_path(spark, "lookups"))
+    return spark.read.parquet(paths[lookup.name])
+
+
+@query(_staged_sql(SESSION_ITEM))
+def lookup_staged_session_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged_lookup(spark, sf_dir, SESSION_ITEM)
+
+
+@query(_staged_sql(SONG_USERS))
+def lookup_staged_song_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged_lookup(spark, sf_dir, SONG_USERS)
+
+
 @query(
     _sql(
         SESSION_ITEM,

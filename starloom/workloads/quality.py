@@ -25,20 +25,29 @@ def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_counts({name: table(spark, sf_dir, name) for name in names})
 
 
-@query(
-    """
-SELECT 'empty' AS table_name, 'not_empty' AS check_name, '' AS detail,
-       CAST(1 AS BIGINT) AS failing_rows, false AS passed
-UNION ALL SELECT 'events', 'not_empty', '', CAST(0 AS BIGINT), true
-UNION ALL SELECT 'orders', 'not_empty', '', CAST(0 AS BIGINT), true"""
-)
+# Parts of the log by type and of the orders by status; some exist and some do not.
+EVENT_PARTS = {name: ("events", "event_type", name) for name in ("purchase", "error", "refund")}
+ORDER_PARTS = {f"orders {name}": ("orders", "o_orderstatus", name) for name in ("F", "O", "X")}
+QUALITY_PARTS = EVENT_PARTS | ORDER_PARTS
+
+
+def _not_empty_sql() -> str:
+    counts = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n FROM {of} WHERE {column} = '{value}'"
+        for name, (of, column, value) in QUALITY_PARTS.items()
+    )
+    return f"""
+SELECT table_name, 'not_empty' AS check_name, '' AS detail,
+       CASE WHEN n = 0 THEN CAST(1 AS BIGINT) ELSE CAST(0 AS BIGINT) END AS failing_rows, n > 0 AS passed
+FROM ({counts})"""
+
+
+@query(_not_empty_sql())
 def dq_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
     return quality.check_not_empty(
         {
-            "empty": events.filter(F.col("event_type") == "no such type"),
-            "events": events,
-            "orders": table(spark, sf_dir, "orders"),
+            name: table(spark, sf_dir, of).filter(F.col(column) == value)
+            for name, (of, column, value) in QUALITY_PARTS.items()
         }
     )
 
@@ -77,9 +86,10 @@ def dq_pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
 SELECT 'events' AS table_name, 'unique_key' AS check_name, 'event_id' AS detail,
-       CAST(0 AS BIGINT) AS failing_rows, true AS passed
+       count(*) AS failing_rows, count(*) = 0 AS passed
+FROM (SELECT 1 FROM events GROUP BY event_id HAVING count(*) > 1)
 UNION ALL
-SELECT 'lineitem', 'unique_key', 'l_orderkey, l_linenumber', count(*), false
+SELECT 'lineitem', 'unique_key', 'l_orderkey, l_linenumber', count(*), count(*) = 0
 FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"""
 )
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:

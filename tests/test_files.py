@@ -17,6 +17,7 @@ from starloom.sources import (
     scan_parquet,
     stage,
 )
+from starloom.storage import children
 from tests.conftest import plan_of, rows_of
 
 ITEM = columns(id=schemas.INT, name=schemas.TEXT)
@@ -222,3 +223,32 @@ def test_times_survive_storage(spark, tmp_path):
     write_table(df, str(tmp_path / "t"))
     back = spark.read.schema(made.schema).parquet(str(tmp_path / "t"))
     assert back.select(F.col("start_time").cast("string")).first()[0] == "2018-03-11 02:30:00"
+
+
+def test_vacuum_removes_what_nobody_reads(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.range(10)
+    for n in range(4):
+        publish.write_version(rows.filter(F.col("id") % 4 == n), root, "a", str(n))
+        publish.publish(spark, root, str(n), {"a": "append"}, {"a": rows.schema})
+    publish.write_version(rows, root, "b", "only")
+    publish.publish(spark, root, "only", {"b": "overwrite"}, {"b": rows.schema})
+    publish.write_version(rows, root, "b", "never published")
+    publish.compact(spark, root, "a", "whole")
+    publish.compact(spark, root, "b", "not needed")
+    (tmp_path / "t" / "_staging" / "x").mkdir(parents=True)
+    logged = [name for name in children(spark, f"{root}/_published") if name.startswith("part-")]
+    assert len(logged) == 6
+    gone = publish.vacuum(spark, root)
+    assert {name for name in gone if not name.startswith("_published")} == {
+        "a/version=0", "a/version=1", "a/version=2", "a/version=3", "b/version=never published", "_staging/x"
+    }
+    assert len([name for name in children(spark, f"{root}/_published") if name.startswith("part-")]) == 2
+    assert children(spark, f"{root}/a") == ["version=whole"] and children(spark, f"{root}/nowhere") == []
+    for table in ("a", "b"):
+        assert sorted(r.id for r in publish.read_published(spark, root, table).collect()) == list(range(10))
+    publish.write_version(rows, root, "a", "more")
+    publish.publish(spark, root, "more", {"a": "append"}, {"a": rows.schema})
+    assert publish.read_published(spark, root, "a").count() == 20
+    assert publish.vacuum(spark, root) != []
+    assert publish.read_published(spark, root, "b").count() == 10

@@ -386,6 +386,40 @@ def test_compaction_and_later_batches(spark, tmp_path, raw_songs, arriving):
     assert levels == {8: "free", 10: "free"}
 
 
+def test_songs_that_arrive_and_checks(spark, tmp_path, raw_songs, arriving):
+    star = IncrementalStar(str(tmp_path / "inc"), plans.STAGED_LEFT, schemas.STAGED_EVENT, checked=True)
+    songs = str(tmp_path / "songs-arriving")
+    raw_songs.filter("song_id < 'S3'").write.json(f"{songs}/first")
+    load_available(spark, songs, schemas.RAW_SONG, str(tmp_path / "c1"), star.song_loader(spark))
+    load(spark, arriving, tmp_path, star.loader(spark=spark))
+    assert {r.song_id for r in star.songplays(spark).collect()} == {"S1", None}
+    raw_songs.write.json(f"{songs}/second")
+    load_available(spark, songs, schemas.RAW_SONG, str(tmp_path / "c1"), star.song_loader(spark))
+    assert star.songs(spark).count() == 5 and star.artists(spark).count() == 3
+    reports = star.reports(spark)
+    assert {r.batch_id for r in reports.collect()} == {0, 1, 2, 3}
+
+    before = rows_of(star.songplays(spark)), rows_of(star.time(spark)), rows_of(star.users(spark))
+    star.compact(spark, through=1)
+    gone = star.vacuum(spark)
+    assert {"songplays/batch_id=0", "time/batch_id=1", "users/batch_id=0"} <= set(gone)
+    star.compact(spark, through=2)
+    star.vacuum(spark)
+    assert (rows_of(star.songplays(spark)), rows_of(star.time(spark)), rows_of(star.users(spark))) == before
+    with pytest.raises(ValueError):
+        star.loader()
+
+
+def test_a_batch_that_fails_its_checks_ends_the_load(spark, tmp_path, arriving):
+    star = IncrementalStar(str(tmp_path / "inc"), plans.STAGED_LEFT, schemas.STAGED_EVENT, checked=True)
+    songs = str(tmp_path / "no-songs")
+    spark.createDataFrame([], schemas.RAW_SONG).coalesce(1).write.json(f"{songs}/first")
+    (tmp_path / "no-songs" / "empty.json").write_text("\n")
+    load_available(spark, songs, schemas.RAW_SONG, str(tmp_path / "c1"), star.song_loader(spark))
+    with pytest.raises(Exception, match="not_empty"):
+        load(spark, arriving, tmp_path, star.loader(spark=spark))
+
+
 def test_incremental_needs_repeatable_keys():
     with pytest.raises(ValueError):
         IncrementalStar("/nowhere", plans.UPSERT, schemas.STAGED_EVENT)

@@ -16,7 +16,8 @@ by ``BLOCK_WORDS``; more items make more blocks, each one pass over the document
 and the positions hit in any pass are merged.
 
 Defined results: NULL and empty texts have no words and no hits; items that are
-NULL or empty have no windows; several items with the same words are all counted;
+NULL or empty have no windows; several items with the same words are all counted,
+several rows of one item once; an item without an id is named by the empty text;
 repeated document rows each get their result; an empty benchmark hits nothing.
 """
 
@@ -184,7 +185,7 @@ def item_blocks(items: DataFrame, most_words: int = BLOCK_WORDS) -> Iterator[lis
         if block and held + len(words) > most_words:
             yield block
             block, held = [], 0
-        block.append((str(name), words))
+        block.append(("" if name is None else str(name), words))
         held += len(words)
     yield block
 
@@ -253,7 +254,7 @@ def _matcher(shared: Shared, at: int):
                 counts.append(len(words))
                 found, which = automaton.hits(words)
                 spans.append([{"start": a, "stop": b} for a, b in found])
-                items.append([automaton.names[i] for i in sorted(which)])
+                items.append(sorted({automaton.names[i] for i in which}))
             columns = [pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
             names = [*batch.schema.names, "_n", "_spans", "_items"]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=names)

@@ -7,7 +7,8 @@ from pathlib import Path
 import pytest
 
 import check
-from starloom.llm import byte_bpe, chat_quotes, queries
+from starloom import llm
+from starloom.llm import byte_bpe, chat_quotes
 from tests.llm.test_near_and_items import contamination, groups
 from tests.llm.test_rules_and_models import stats
 from tests.llm.test_shards_and_lines import dedup
@@ -129,11 +130,11 @@ def test_pipeline_of_an_empty_table(spark):
         assert docs.count() == 0
 
 
-@pytest.mark.parametrize("name", sorted(queries.queries()))
+@pytest.mark.parametrize("name", sorted(llm.queries()))
 def test_query(spark, name):
-    assert check.compare(spark, SF_DIR, name, queries.oracle_sql().get(name)) == ""
+    assert check.compare(spark, SF_DIR, name, llm.oracle_sql().get(name)) == ""
     assert name.startswith("op")
 
 
 def test_ten_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in llm.queries()) == list(range(1, 11))

@@ -25,6 +25,9 @@ from starloom.workloads.standin import BOTH_SQL, PLAY, raw_events, raw_songs
 TABLES = ("songplays", "users", "songs", "artists", "time")
 
 
+_raw_files: dict[tuple, Sources] = {}
+
+
 def write_raw_files(
     spark: SparkSession,
     sf_dir: str,
@@ -33,14 +36,24 @@ def write_raw_files(
     fmt: str = "json",
     compression: str = "none",
 ) -> Sources:
-    """The catalogue as JSON files and the log as JSON or CSV files."""
+    """The catalogue as JSON files and the log as JSON or CSV files.
+
+    The plain tables are written once in an application, however many loads read them.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, fmt, compression)
+    plain = events is None and songs is None
+    if plain and key in _raw_files:
+        return _raw_files[key]
     root = new_path(spark, "raw")
     songs = raw_songs(spark, sf_dir) if songs is None else songs
     songs.write.option("compression", compression).json(f"{root}/songs")
     events = raw_events(spark, sf_dir) if events is None else events
     writer = conform(events, schemas.RAW_EVENT).write.option("compression", compression)
     writer.options(header="true", escape='"').format(fmt).save(f"{root}/events")
-    return Sources(songs=f"{root}/songs", events=f"{root}/events", events_format=fmt)
+    sources = Sources(songs=f"{root}/songs", events=f"{root}/events", events_format=fmt)
+    if plain:
+        _raw_files[key] = sources
+    return sources
 
 
 def _text(df: DataFrame, name: str) -> Column:

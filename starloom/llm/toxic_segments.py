@@ -83,7 +83,9 @@ class WordScores:
         cache = self._cache
         if len(cache) > CACHED_WORDS:
             cache.clear()
-        for word in set(words) - cache.keys():
+        for word in set(words):
+            if word in cache:
+                continue
             score = next((self.known[f] for f in feature_names(word) if f in self.known), 0.0)
             cache[word] = score - PENALTY
         scores = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))

@@ -17,6 +17,7 @@ from starloom.operators.upsert import insert_absent, merge_upsert
 from starloom.plans.profiles import Profile
 from starloom.plans.star import build_catalogue, build_songplays, build_time, build_users
 from starloom.sources import stage
+from starloom.storage import scratch
 
 MERGE_UPDATES = {"users": dims.USER_UPDATE, "artists": dims.ARTIST_UPDATE}
 PRIMARY_KEYS = {table.name: list(table.primary_key) for table in schemas.DIMENSIONS}
@@ -60,6 +61,13 @@ def run(
     what they had.
     """
     version = version or uuid.uuid4().hex
+    # Intermediates of the keys are of no use once the versions are written.
+    with scratch(spark):
+        _load(spark, sources, output, profile, version)
+    return version
+
+
+def _load(spark: SparkSession, sources: Sources, output: str, profile: Profile, version: str) -> None:
     staging = f"{output}/{publish.STAGING}/{version}"
     staged: dict[str, DataFrame] = {}
 
@@ -144,7 +152,6 @@ def run(
         checks = [quality.check_table(table, frames) for table in schemas.STAR]
         quality.require(quality.report(checks))
     publish.publish(spark, output, version, modes, {name: df.schema for name, df in stored.items()})
-    return version
 
 
 def _last_id(spark: SparkSession, output: str, plays: publish.Published) -> int:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,10 +37,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the stored rows."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    for paths in _scratches:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scratches: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is materialized inside is removed at the end; only for work that is stored elsewhere by then."""
+    paths: list[str] = []
+    _scratches.append(paths)
+    try:
+        yield
+    finally:
+        _scratches.remove(paths)
+        for path in paths:
+            remove(spark, path)
+
+
 def _at(spark: SparkSession, path: str):
     """The file system that ``path`` is on, and the path in its terms."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,6 +11,7 @@ from starloom.operators import quality, tables
 from starloom.plans import build_catalogue
 from starloom.sources import scan_csv
 from starloom.streaming import IncrementalStar, load_available
+from starloom.storage import children, shared_root
 from tests.conftest import EVENTS, event_rows, rows_of
 
 TABLES = ("songplays", "users", "songs", "artists", "time")
@@ -124,6 +125,14 @@ def test_staged_left(spark, tmp_path, raw_files):
     assert {int(r.duration) for r in songs.collect()} == {218, 100, 55, 10}
 
 
+def test_a_load_leaves_no_intermediates(spark, tmp_path, raw_files):
+    folder = shared_root(spark)
+    before = children(spark, folder)
+    for profile in plans.PROFILES.values():
+        plans.run(spark, raw_files, str(tmp_path / profile.name), profile)
+    assert children(spark, folder) == before
+
+
 def test_numbers_go_on_after_an_empty_load(spark, tmp_path, raw_files):
     output = str(tmp_path / "star")
     spark.createDataFrame([], schemas.RAW_EVENT).write.json(str(tmp_path / "nothing"))

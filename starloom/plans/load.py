@@ -13,10 +13,11 @@ from pyspark.sql.types import StructType
 
 from starloom import schemas
 from starloom.operators import dims, publish, quality
+from starloom.operators.rows import distinct_rows, plays_only
 from starloom.operators.upsert import insert_absent, merge_upsert
 from starloom.plans.profiles import Profile
 from starloom.plans.star import build_catalogue, build_songplays, build_time, build_users
-from starloom.sources import stage
+from starloom.sources import read_staged, stage
 from starloom.storage import scratch
 
 MERGE_UPDATES = {"users": dims.USER_UPDATE, "artists": dims.ARTIST_UPDATE}
@@ -177,6 +178,20 @@ def read_table(spark: SparkSession, output: str, table: str) -> DataFrame:
     return publish.read_published(spark, output, table)
 
 
+def fan_out(spark: SparkSession, output: str, version: str, profile: Profile) -> DataFrame:
+    """One row: plays that a load brought, fact rows that it made of them, and their ratio.
+
+    Needs the load's staged events, which stay until :func:`publish.vacuum`.
+    """
+    staged = read_staged(spark, f"{output}/{publish.STAGING}/{version}/events", schemas.STAGED_EVENT)
+    plays = plays_only(staged.rows, profile.play_page)
+    if profile.dedup_raw:
+        plays = distinct_rows(plays)
+    state = publish.current(spark, output)["songplays"]
+    fact = publish.read_versions(spark, output, "songplays", [version], state.schema)
+    return quality.fan_out(plays, fact)
+
+
 def create_views(spark: SparkSession, output: str, profile: Profile | None = None) -> list[str]:
     """Temporary views of all published tables, for SQL; with the profile's headings if given."""
     published = publish.current(spark, output)

@@ -292,6 +292,21 @@ def load_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir, plans.LAKE)
 
 
+@query(
+    f"""
+WITH {BOTH_SQL}, counts AS (
+  SELECT (SELECT count(*) FROM (SELECT DISTINCT {RAW_PLAY} FROM plays)) AS rows_before,
+         (SELECT count(*) FROM (SELECT DISTINCT {RAW_PLAY} FROM plays) JOIN songs ON song = title) AS rows_after
+)
+SELECT *, CAST(rows_after AS DOUBLE) / CAST(rows_before AS DOUBLE) AS ratio FROM counts"""
+)
+def load_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many fact rows a load made of its plays."""
+    profile, output = replace(plans.LAKE, play_page=PLAY), new_path(spark, "star-fan-out")
+    version = plans.run(spark, write_raw_files(spark, sf_dir), output, profile)
+    return plans.fan_out(spark, output, version, profile)
+
+
 @query(
     _lake_sql(
         """, logged AS (

@@ -22,6 +22,7 @@ import base64
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -59,7 +60,9 @@ class Merges:
         self.longest = max(map(len, self.tokens))
         self.merged = {pair: i for i, pair in enumerate(self.splits) if i >= 256}
         self.by_id = dict(zip(self.ids, self.tokens))
+        self.sizes = [len(token) for token in self.tokens]
         self._pairs: dict[int, bool] = {}
+        self._finder = None
 
     def __getstate__(self):
         return self.tokens, self.splits, self.ids
@@ -153,6 +156,33 @@ class Merges:
             last.append(token)
         return last
 
+    def table(self, data: bytes) -> list[int]:
+        """:meth:`last_tokens` of a piece from its beginning.
+
+        An automaton finds the tokens that end at each byte, the longest first.
+        """
+        if self._finder is None:
+            self._finder = ahocorasick.Automaton()
+            for number, token in enumerate(self.tokens):
+                self._finder.add_word(token.decode("latin-1"), number)
+            self._finder.make_automaton()
+        last: list[int] = []
+        sizes, pairs, done = self.sizes, self._pairs, -1
+        for end, token in self._finder.iter(data.decode("latin-1")):
+            if end == done:
+                continue
+            before = end - sizes[token]
+            if before >= 0:
+                left = last[before]
+                fits = pairs.get(left << 32 | token)
+                if fits is None:
+                    fits = self.fits(left, token)
+                if not fits:
+                    continue
+            last.append(token)
+            done = end
+        return last
+
     def edited(self, last: list[int], old: bytes, begin: int, end: int, new: bytes) -> list[int]:
         """The answers for ``old`` with ``old[begin:end]`` replaced, from those for ``old``."""
         data = old[:begin] + new + old[end:]
@@ -171,17 +201,18 @@ class Merges:
 
     def walk(self, last: list[int], end: int) -> list[int]:
         """The encoding of the first ``end`` bytes, as token numbers."""
-        out = []
+        out, sizes = [], self.sizes
         while end:
-            out.append(last[end - 1])
-            end -= len(self.tokens[last[end - 1]])
+            token = last[end - 1]
+            out.append(token)
+            end -= sizes[token]
         return out[::-1]
 
     def prefix_counts(self, last: list[int]) -> list[int]:
         """Tokens of each byte prefix of a piece, the empty one first, from its last tokens."""
         counts = [0]
         for end, token in enumerate(last, 1):
-            counts.append(counts[end - len(self.tokens[token])] + 1)
+            counts.append(counts[end - self.sizes[token]] + 1)
         return counts
 
     def decode(self, ids: Iterable[int]) -> bytes:
@@ -232,24 +263,12 @@ class PieceCache(dict):
         self.merges, self.value, self.most = merges, value, most
 
     def learn(self, pieces: Iterable[str]) -> None:
-        """Add what is not known yet.
-
-        In sorted order a piece begins like the one before it, and the table of
-        their common prefix serves both.
-        """
+        """Add what is not known yet."""
         if len(self) >= self.most:
             self.clear()
-        last_tokens, value = self.merges.last_tokens, self.value
-        before, table = b"", []
-        for data, piece in sorted((p.encode(), p) for p in set(pieces) - self.keys()):
-            same = 0
-            for x, y in zip(before, data):
-                if x != y:
-                    break
-                same += 1
-            del table[same:]
-            self[piece] = value(data, last_tokens(data, table))
-            before = data
+        table, value = self.merges.table, self.value
+        for piece in [piece for piece in set(pieces) if piece not in self]:
+            self[piece] = value(table(piece.encode()))
 
 
 class Encoder:
@@ -258,10 +277,11 @@ class Encoder:
     def __init__(self, merges: Merges, pattern: str):
         self.merges, self.pieces = merges, regex.compile(pattern)
         self.cache = PieceCache(merges, self._ids)
+        self._packed = [np.int32(i).tobytes() for i in merges.ids]
 
-    def _ids(self, data: bytes, table: list[int]) -> bytes:
-        ids = self.merges.ids
-        return np.array([ids[t] for t in self.merges.walk(table, len(data))], np.int32).tobytes()
+    def _ids(self, table: list[int]) -> bytes:
+        packed = self._packed
+        return b"".join([packed[t] for t in self.merges.walk(table, len(table))])
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]

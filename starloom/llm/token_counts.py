@@ -72,7 +72,7 @@ class Counter:
     def __init__(self, merges: Merges, pattern: str, special: list[str]):
         self.merges, self.pieces = merges, regex.compile(pattern)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.cache = PieceCache(merges, lambda data, last: merges.prefix_counts(last)[-1])
+        self.cache = PieceCache(merges, lambda last: merges.prefix_counts(last)[-1])
 
     def _plain(self, text: str) -> tuple[list[str], int]:
         """The stretches between special strings, and how many of those there are."""

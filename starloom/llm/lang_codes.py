@@ -7,8 +7,8 @@ against each codeword, weighted by how reliable the bit proved on labelled texts
 it was not trained on; the codeword with the least loss names the language. The
 softmax of the losses is the score, and a low one flags the text as ambiguous.
 
-The classifiers are fitted on a bounded sample, ``PER_LANGUAGE`` documents of each
-language and ``SAMPLE`` in all, chosen by a hash of the id. Their n-gram counts are
+The classifiers are fitted on a bounded sample, ``GROUPS * PER_GROUP`` documents of
+each language and ``SAMPLE`` in all, chosen by a hash of the id. Their n-gram counts are
 made by Spark tasks; the driver sees one row of ``SIZE`` numbers for each.
 
 Defined results: NULL texts and texts without letters are ``und`` with score 0 and
@@ -33,8 +33,9 @@ from starloom.llm.byte_bpe import Shared
 from starloom.llm.tables import only, ship, text_slices
 
 SIZE = 4096
-PER_LANGUAGE = 500
-SAMPLE = 4000
+#: Documents of a language are dealt into so many groups by hash, and so many of each are taken.
+GROUPS, PER_GROUP = 16, 32
+SAMPLE = 4096
 PART = 1 << 20
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -132,8 +133,10 @@ def fit(docs: DataFrame, held_out: int = 2, parts: int = 4) -> Codebook | None:
     """Learn from ``docs`` (``doc_id``, ``text``, ``lang``) outside the held-out fold."""
     ship(docs.sparkSession)
     taught = docs.filter("lang is not null and text is not null").filter(fold("doc_id", parts) != held_out)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = taught.select("doc_id", "lang").withColumn("place", place).filter(F.col("place") <= PER_LANGUAGE)
+    # One language may have most rows: its groups are ranked apart, after each task has kept the first of its own.
+    grouped = taught.select("doc_id", "lang", F.pmod(F.xxhash64(F.lit("group"), "doc_id"), F.lit(GROUPS)).alias("part"))
+    place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = grouped.withColumn("place", place).filter(F.col("place") <= PER_GROUP)
     chosen = chosen.orderBy("place", "lang").limit(SAMPLE).select("doc_id", F.col("lang").alias("given"))
     # At most SAMPLE ids.
     sample = docs.join(F.broadcast(chosen.distinct()), "doc_id").filter("lang = given").select("given", "text")

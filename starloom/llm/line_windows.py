@@ -8,6 +8,10 @@ Covered stretches that touch or overlap are merged and cut out, with the empty l
 between their lines. Every line of a removed stretch is still there in an earlier
 place, because a window's first place comes before all its others.
 
+With ``long_words``, one and two consecutive lines of at least so many words are
+windows too, in documents of any length. Passages that begin or end inside a line
+are not found. The SQL below is the rule without ``long_words``.
+
 Only DataFrame functions are used. Windows are reduced to one row per hash on the
 map side; the join back to their places is a plain equi-join that adaptive execution
 splits where one window fills a partition; covered stretches are merged by a window
@@ -66,12 +70,36 @@ def _windows(content: Column) -> Column:
     return let(content, of)
 
 
-def covered(rows: DataFrame) -> DataFrame:
+def _long_windows(content: Column, long_words: int) -> Column:
+    """Windows of one and of two lines that have at least ``long_words`` words."""
+    counted = F.transform(
+        content, lambda x: F.struct(x["at"], x["line"], F.size(F.split(x["line"], f"[{_TRIM}]+")).alias("words"))
+    )
+
+    def of(c: Column) -> Column:
+        def starting(x: Column, i: Column) -> Column:
+            then = F.get(c, i + 1)
+            one = F.when(x["words"] >= long_words, _window([x["line"]], x["at"], x["at"]))
+            two = F.when(x["words"] + then["words"] >= long_words, _window([x["line"], then["line"]], x["at"], then["at"]))
+            return F.array_compact(F.array(one, two))
+
+        return F.flatten(F.transform(c, starting))
+
+    return let(counted, of)
+
+
+def covered(rows: DataFrame, long_words: int | None = None) -> DataFrame:
     """For (``doc_id``, ``th``, ``text``): the stretches of lines to remove.
 
     Gives ``doc_id``, ``th`` and ``cuts``, an array of first and last lines in order.
     """
-    places = rows.select("doc_id", "th", F.explode(_windows(_content(F.col("text")))).alias("w"))
+
+    def windows(content: Column) -> Column:
+        if long_words is None:
+            return _windows(content)
+        return let(content, lambda c: F.concat(F.coalesce(_windows(c), F.array()), _long_windows(c, long_words)))
+
+    places = rows.select("doc_id", "th", F.explode(windows(_content(F.col("text")))).alias("w"))
     places = places.select("doc_id", "th", "w.*")
     place = F.struct("doc_id", "th", "a")
     firsts = places.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
@@ -98,17 +126,22 @@ def _without(text: Column, cuts: Column) -> Column:
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "n_removed"
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    removed_col: str = "n_removed",
+    long_words: int | None = None,
 ) -> DataFrame:
     """``docs`` with repeated passages cut from the texts, and the number of lines cut.
 
+    One or two lines of at least ``long_words`` words count as a passage, if given.
     A column called ``removed_col`` is replaced.
     """
     docs = without(docs, removed_col)
     names, inner = docs.columns, positional(docs)
     key, text = f"_c{names.index(id_col)}", f"_c{names.index(text_col)}"
     inner = inner.withColumn("_h", F.xxhash64(text))
-    cuts = covered(inner.select(F.col(key).alias("doc_id"), F.col("_h").alias("th"), F.col(text).alias("text")))
+    cuts = covered(inner.select(F.col(key).alias("doc_id"), F.col("_h").alias("th"), F.col(text).alias("text")), long_words)
     both = inner.join(cuts, inner[key].eqNullSafe(cuts["doc_id"]) & (inner["_h"] == cuts["th"]), "left")
     removed = F.aggregate("cuts", F.lit(0).cast("bigint"), lambda n, c: n + c.b - c.a + 1)
     cleaned = F.when(F.col("cuts").isNotNull(), _without(F.col(text), F.col("cuts"))).otherwise(F.col(text))

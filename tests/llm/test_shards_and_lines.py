@@ -115,3 +115,18 @@ def test_a_passage_stays_once(spark):
     found = line_windows.dedup_lines(plain(spark, rows)).collect()
     assert [r.doc_id for r in found if "again and again" in r.text] == [0]
     assert all(r.text == f"start {r.doc_id}\nend {r.doc_id}" for r in found if r.doc_id)
+
+
+def test_long_lines_are_passages(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    half, rest = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    rows = [
+        (1, f"{long}\nx\ny\n{half}\n{rest}"), (2, f"own\n {long} \nend\nmore"), (3, long), (4, f"{half}\n\n{rest}"),
+        (5, f"{half}\nz"), (6, None), (7, ""), (8, f"{long}\n{long}"),
+    ]
+    cleaned = line_windows.dedup_lines(plain(spark, rows), long_words=50)
+    found = {r.doc_id: (r.text, r.n_removed) for r in cleaned.collect()}
+    assert found == {
+        1: (rows[0][1], 0), 2: ("own\nend\nmore", 1), 3: ("", 1), 4: ("", 3),
+        5: (rows[4][1], 0), 6: (None, 0), 7: ("", 0), 8: ("", 2),
+    }

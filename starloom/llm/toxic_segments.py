@@ -5,10 +5,13 @@ other documents. The counts of each are smoothed by a Dirichlet prior of strengt
 ``PRIOR`` whose mean is what the next shorter beginning says, down to the share of
 toxic documents; a word that was not seen has the odds of its longest known
 beginning. Odds are reduced by their standard error, so that rare words count little.
-A word's evidence counts once in a document; all else costs ``PENALTY``.
+All else costs ``PENALTY``.
 
 *Segments.* One pass over the words finds all maximal segments: those that cannot be
-extended or cut without losing score (Ruzzo and Tompa's algorithm).
+extended or cut without losing score (Ruzzo and Tompa's algorithm). Those in which a
+word comes again are divided, best part first: within a part a repeated word counts
+``REPEATED`` of its score, behind it in full again. So one word said often is no strong
+passage, near repeats stay in one, and a passage that comes again is found each time.
 
 *Calibration.* The best segment of ``n`` ordinary words follows an extreme-value law:
 its score times ``rate``, less the logarithm of ``n`` and a constant, has a Gumbel
@@ -30,6 +33,7 @@ are not looked at.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -54,6 +58,8 @@ PRIOR = 10.0
 #: Log-odds nearer to 0 than this are no evidence.
 LEAST_ODDS = 1.0
 PENALTY = 0.02
+#: What a word's score is worth when the segment has the word already.
+REPEATED = 0.1
 #: The probability of a text in which nothing speaks for toxicity.
 NO_SEGMENT = 1e-3
 CACHED_WORDS = 200_000
@@ -88,13 +94,7 @@ class WordScores:
                 continue
             score = next((self.known[f] for f in feature_names(word) if f in self.known), 0.0)
             cache[word] = score - PENALTY
-        scores = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
-        seen = set()
-        for at in np.flatnonzero(scores > 0).tolist():
-            if words[at] in seen:
-                scores[at] = -PENALTY
-            seen.add(words[at])
-        return scores
+        return np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -118,6 +118,73 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, float(r - l)) for a, b, l, r, _ in found]
 
 
+def passages_of(words: list[bytes], scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """Segments as (begin, end, score), in order, with repeats in a segment damped.
+
+    Every word of a positive score is in one. A damped score is at most the sum of
+    those of its parts, so the best parts lie in maximal segments of the plain scores.
+    """
+    sums = np.concatenate([[0.0], np.cumsum(scores)])
+    out = []
+    for a, b, score in segments(scores):
+        at = (np.flatnonzero(scores[a:b] > 0) + a).tolist()
+        if len({words[p] for p in at}) == len(at):
+            out.append((a, b, score))
+        else:
+            out += _divided(words, scores, sums, at)
+    return sorted(out)
+
+
+def _divided(words: list[bytes], scores: np.ndarray, sums: np.ndarray, at: list[int]) -> list[tuple[int, int, float]]:
+    """The best damped segment over the positive words ``at``, and those left and right of it.
+
+    A begin whose score has fallen to 0 is never better than a later one. When all
+    begins up to the end of the best segment have, nothing that follows can change it.
+    Of begins that have the same words behind them the best stays so, hence there are
+    never more than different words.
+    """
+    out = []
+    todo = [(0, len(at))]
+    while todo:
+        first, stop = todo.pop()
+        if first >= stop:
+            continue
+        begins, values = np.empty(stop - first, np.int64), np.empty(stop - first)
+        n, best, left, right = 0, 0.0, first, first
+        last: dict[bytes, int] = {}
+        lasts: list[int] = []
+        for k in range(first, stop):
+            p = at[k]
+            if n:
+                values[:n] += sums[p] - sums[at[k - 1] + 1]
+                if values[:n].min() <= 0:
+                    alive = values[:n] > 0
+                    m = int(alive.sum())
+                    begins[:m], values[:m], n = begins[:n][alive], values[:n][alive], m
+                if not n or begins[0] > right:
+                    break
+            begins[n], values[n] = k, 0.0
+            n += 1
+            before = last.get(words[p], -1)
+            again = int(np.searchsorted(begins[:n], before, "right"))
+            values[:again] += REPEATED * scores[p]
+            values[again:n] += scores[p]
+            last[words[p]] = k
+            if before >= 0:
+                lasts.pop(bisect_left(lasts, before))
+            lasts.append(k)
+            if 0 < again < n and lasts[bisect_left(lasts, begins[again - 1])] >= begins[again]:
+                worse = again if values[again - 1] >= values[again] else again - 1
+                begins[worse : n - 1], values[worse : n - 1] = begins[worse + 1 : n], values[worse + 1 : n]
+                n -= 1
+            top = int(values[:n].argmax())
+            if values[top] > best:
+                best, left, right = float(values[top]), int(begins[top]), k
+        out.append((at[left], at[right] + 1, best))
+        todo += [(first, left), (right + 1, stop)]
+    return out
+
+
 @dataclass(frozen=True)
 class ToxicModel:
     scores: WordScores = field(default_factory=lambda: WordScores({}))
@@ -215,9 +282,14 @@ def calibrate(sample: DataFrame, scores: WordScores) -> ToxicModel:
         for batch in text_slices(batches, 1):
             best, sizes, spread = [], [], []
             for text in batch.column(1).to_pylist():
-                values = known.of(words_of(text))
-                best.append(max((s for _, _, s in segments(values)), default=0.0))
+                words = words_of(text)
+                values = known.of(words)
+                best.append(max((s for _, _, s in passages_of(words, values)), default=0.0))
                 sizes.append(len(values))
+                # Repeats are no evidence of their own.
+                once = {words[at]: at for at in np.flatnonzero(values > 0).tolist()}
+                values = np.where(values > 0, -PENALTY, values)
+                values[list(once.values())] = known.of(list(once))
                 spread.append(np.histogram(np.clip(values, -REACH, REACH - STEP), edges)[0].tolist())
             columns = [batch.column(0), pa.array(best), pa.array(sizes, pa.int64()), pa.array(spread, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["toxic", "best", "n", "spread"])
@@ -295,9 +367,10 @@ def find_segments(
         for batch in text_slices(batches, 1):
             scores, passages = [], []
             for text in batch.column(1).to_pylist():
-                values = known.scores.of(words_of(text))
+                words = words_of(text)
+                values = known.scores.of(words)
                 n = len(values)
-                found = [(a, b, s, known.chance(s, n)) for a, b, s in segments(values)]
+                found = [(a, b, s, known.chance(s, n)) for a, b, s in passages_of(words, values)]
                 scores.append(known.probability(max((s for _, _, s, _ in found), default=0.0), n))
                 passages.append(
                     [{"start": a, "stop": b, "score": s, "chance": c} for a, b, s, c in found if c <= level]

@@ -167,6 +167,50 @@ def test_segments_against_their_definition():
         assert [(a, b) for a, b, _ in found] == [(a, b) for a, b, _ in maximal(scores)]
 
 
+def damped(words, scores):
+    """Best segment by brute force, with repeats in it damped; then left and right of it."""
+    def value(i, j):
+        seen, total = set(), 0.0
+        for w, s in zip(words[i:j], scores[i:j]):
+            total += s * toxic_segments.REPEATED if s > 0 and w in seen else s
+            seen.add(w)
+        return total
+
+    def split(a, b):
+        best = max(((value(i, j), -i, -j, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=None)
+        if best is None or best[0] <= 0:
+            return []
+        return [*split(a, best[3]), (best[3], best[4], best[0]), *split(best[4], b)]
+
+    return split(0, len(words))
+
+
+def test_damped_segments_against_their_definition():
+    rng = random.Random(9)
+    weights = {k: rng.choice([-0.9, -0.5, -0.3, 1.0, 2.0, 4.5]) + rng.random() / 100 for k in range(8)}
+    for _ in range(300):
+        text = [rng.randrange(8) for _ in range(rng.randrange(18))]
+        # Small differences by place, so that no two segments are equal.
+        scores = [weights[w] + rng.random() / 1000 for w in text]
+        found, expected = toxic_segments.passages_of(text, np.array(scores)), damped(text, scores)
+        assert [(a, b) for a, b, _ in found] == [(a, b) for a, b, _ in expected]
+        assert np.allclose([s for *_, s in found], [s for *_, s in expected])
+
+
+def test_a_toxic_passage_that_comes_again_is_found_again(spark):
+    known = {b"badword": 7.0, b"uglyword": 7.0, b"vile": 7.0}
+    model = toxic_segments.ToxicModel(toxic_segments.WordScores(known), rate=0.8, constant=-3.0)
+    rest = " ".join(["fine"] * 1200)
+    passage = "badword uglyword vile"
+    rows = [(1, f"{passage} {rest} {passage}"), (2, f"badword {rest} uglyword {rest} vile {rest} {passage}"), (3, "badword " * 50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.passages for r in toxic_segments.find_segments(docs, model).collect()}
+    assert [(p.start, p.stop) for p in found[1]] == [(0, 3), (1203, 1206)]
+    assert [(p.start, p.stop) for p in found[2]] == [(3603, 3606)]
+    assert found[1][0].score == pytest.approx(found[1][1].score) == pytest.approx(found[2][0].score)
+    assert [(p.start, p.stop) for p in found[3]] == [(0, 50)]
+
+
 def test_toxic_documents(spark):
     rng = random.Random(8)
     vocabulary = [f"v{k}" for k in range(300)]

@@ -15,6 +15,7 @@ The result has a row for each message, without quotes, in reply order.
 
 Only DataFrame functions are used. A passage that many messages wrote is reduced to
 one candidate for each thread and one for all, so common greetings make no pairs;
+passages of fewer than ``LEAST_WORDS`` words are looked for in the same thread only;
 conversations are never gathered in one place.
 
 Defined results: NULL and empty bodies quote nothing and are roots of their own; so
@@ -35,7 +36,7 @@ from starloom.storage import materialize
 MARKS = r"^[ \t]*((?:>[ \t]*)+)"
 #: Lines such as "On Monday A wrote:" in front of a quote.
 ATTRIBUTION = r"(?i)^(on\b.{0,200}\bwrote|am\b.{0,200}\bschrieb.{0,100}|le\b.{0,200}\ba écrit|el\b.{0,200}\bescribió)\s*:$"
-#: Quoted pieces of fewer words prove nothing.
+#: Quoted pieces of fewer words prove nothing outside their thread.
 LEAST_WORDS = 3
 
 
@@ -93,8 +94,7 @@ def _pieces(passages: Column) -> Column:
         each = F.transform(p["lines"], lambda line: _piece(line, p["level"]))
         return F.when(F.size(p["lines"]) > 1, F.concat(whole, each)).otherwise(whole)
 
-    found = F.flatten(F.transform(passages, of))
-    return F.filter(found, lambda x: x["words"] >= LEAST_WORDS)
+    return F.flatten(F.transform(passages, of))
 
 
 def parse(messages: DataFrame) -> DataFrame:
@@ -121,14 +121,15 @@ def link(parsed: DataFrame) -> DataFrame:
         F.filter("pieces", lambda x: x["level"] == 0), F.filter(F.array("whole"), lambda x: x.isNotNull())
     )
     written = parsed.select("id", "thread", "sent", F.explode(own).alias("p"))
-    written = written.select("id", "thread", "sent", "p.h1", "p.h2").distinct()
+    written = written.select("id", "thread", "sent", "p.words", "p.h1", "p.h2").distinct()
     quoted = parsed.select("id", "thread", "sent", F.explode(F.filter("pieces", lambda x: x["level"] > 0)).alias("p"))
     quoted = materialize(quoted.select("id", "thread", "sent", "p.*"), "quoted")
 
     # One candidate for each passage and thread, and one for each passage: who wrote it first.
     writer = F.min(F.struct("sent", "id")).alias("w")
     here = quoted.join(written.groupBy("h1", "h2", "thread").agg(writer), ["h1", "h2", "thread"])
-    elsewhere = quoted.join(written.groupBy("h1", "h2").agg(writer), ["h1", "h2"])
+    telling = F.col("words") >= LEAST_WORDS
+    elsewhere = quoted.filter(telling).join(written.filter(telling).groupBy("h1", "h2").agg(writer), ["h1", "h2"])
     earlier = F.struct("w.sent", "w.id") < F.struct("sent", "id")
     columns = ["id", "level", "words", F.col("w.id").alias("parent"), F.col("w.sent").alias("at")]
     here = here.filter(earlier).select(*columns, F.lit(1).alias("same"))

@@ -59,6 +59,19 @@ def test_odd_messages(spark):
     assert chat_quotes.conversations(mail(spark, rows).limit(0)).count() == 0
 
 
+def test_short_messages_are_quoted_within_their_thread(spark):
+    rows = [
+        (1, 1, 1, "Shall we meet on Monday morning?"),
+        (2, 1, 2, "> Shall we meet on Monday morning?\nOK thanks"),
+        (3, 1, 3, "> OK thanks\n>> Shall we meet on Monday morning?\nはい"),
+        (4, 1, 4, "> はい\nSee you there then."),
+        (5, 2, 5, "> OK thanks\nQuoted from elsewhere."),
+    ]
+    got = found(spark, rows)
+    assert [got[k][:3] for k in (1, 2, 3, 4)] == [(1, 0, None), (1, 1, 1), (1, 2, 2), (1, 3, 3)]
+    assert got[5][:3] == (5, 0, None)
+
+
 def test_long_chains_and_common_openings(spark):
     rows = [(100 * c, c, 0, "hello to all of you") for c in range(20)]
     for c in range(20):

@@ -19,6 +19,7 @@ from starloom.llm import (
     shard_tree,
     token_counts,
     toxic_segments,
+    word_bpe,
 )
 from starloom.llm.tables import read
 
@@ -86,6 +87,11 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merges, rules = word_bpe.load_json(public_tokenizers.path("word_bpe_49k.json"))
+    return word_bpe.digests(read(spark, sf_dir, "documents"), merges, rules)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_quotes": op1_chat_quotes,
@@ -98,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op8_lang_codes": op8_lang_codes,
         "op9_toxic_segments": op9_toxic_segments,
         "op10_decontam": op10_decontam,
+        "op12_word_bpe": op12_word_bpe,
     }
 
 

@@ -17,6 +17,7 @@ from starloom.llm import (
     line_windows,
     ngram_join,
     shard_tree,
+    token_align,
     token_counts,
     toxic_segments,
     word_bpe,
@@ -92,6 +93,12 @@ def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.digests(read(spark, sf_dir, "documents"), merges, rules)
 
 
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merges, _ = token_counts.load_json(public_tokenizers.path("byte_bpe_50k.json"))
+    model = token_align.load_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_align.report(read(spark, sf_dir, "documents"), merges, public_tokenizers.PATTERN, model)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_quotes": op1_chat_quotes,
@@ -105,6 +112,7 @@ def queries() -> dict[str, Query]:
         "op9_toxic_segments": op9_toxic_segments,
         "op10_decontam": op10_decontam,
         "op12_word_bpe": op12_word_bpe,
+        "op13_token_align": op13_token_align,
     }
 
 

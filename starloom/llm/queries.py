@@ -20,6 +20,7 @@ from starloom.llm import (
     token_align,
     token_counts,
     toxic_segments,
+    turn_repair,
     word_bpe,
 )
 from starloom.llm.tables import read
@@ -88,6 +89,12 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations of the table with faults put in, and repaired."""
+    turns = read(spark, sf_dir, "conversations")
+    return turn_repair.report(turn_repair.damage(turns), turns)
+
+
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     merges, rules = word_bpe.load_json(public_tokenizers.path("word_bpe_49k.json"))
     return word_bpe.digests(read(spark, sf_dir, "documents"), merges, rules)
@@ -111,6 +118,7 @@ def queries() -> dict[str, Query]:
         "op8_lang_codes": op8_lang_codes,
         "op9_toxic_segments": op9_toxic_segments,
         "op10_decontam": op10_decontam,
+        "op11_turn_repair": op11_turn_repair,
         "op12_word_bpe": op12_word_bpe,
         "op13_token_align": op13_token_align,
     }

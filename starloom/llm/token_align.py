@@ -39,8 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.byte_bpe import MOST_VOCABULARY_BYTES, Encoder, Merges, Shared, worker_copy
+from starloom.llm.byte_bpe import MOST_VOCABULARY_BYTES, Merges, Shared, worker_copy
 from starloom.llm.tables import only, positional, text_slices, without
+from starloom.llm.word_bpe import Pieces, WordEncoder, WordMerges
 from starloom.storage import materialize
 
 #: Distinct pairs of documents that a block holds before it is closed.
@@ -49,9 +50,6 @@ BLOCK_PAIRS = 1 << 20
 #: Links of an irregular group that are written out one by one; larger ones go by distinct ids.
 PLAIN_LINKS = 64
 
-#: Pieces that the encoder of the first kind remembers.
-CACHED_PIECES = 200_000
-
 SPACE = "▁"
 
 
@@ -59,9 +57,12 @@ class ByteTokens:
     """Byte-level tokens of a prefix and the text; strings of special tokens are plain text."""
 
     def __init__(self, merges: Merges, pattern: str, prefix: str):
-        self.encoder, self.prefix = Encoder(merges, pattern), prefix
-        self.encoder.cache.most = CACHED_PIECES
+        self.prefix = prefix
         self.bytes_of = [merges.by_id.get(i, b"") for i in range(max(merges.ids) + 1)]
+        # Without word ends, a byte is the same symbol wherever it stands. Merges go in token order.
+        ids, plain = merges.ids, merges.ids[:256]
+        pairs = [(ids[left], ids[right], ids[made]) for made, (left, right) in enumerate(merges.splits) if made >= 256]
+        self.encoder = WordEncoder(WordMerges({}, plain, plain, pairs), Pieces(pattern))
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         return self.encoder.encode_all([self.prefix + text for text in texts])

@@ -258,10 +258,23 @@ def load_json(path: str) -> tuple[WordMerges, Rules]:
     return table, Rules(special, steps[0]["pattern"]["Regex"], forms[0]["type"], True, content.decode())
 
 
+class Pieces:
+    """Texts cut into pieces by a pattern alone: no special strings, no normalisation."""
+
+    def __init__(self, pattern: str):
+        self.special, self.words = {}, regex.compile(pattern)
+
+    def stretches(self, text: str) -> list[str]:
+        return [text]
+
+    def cut(self, stretch: str) -> list[str]:
+        return self.words.findall(stretch)
+
+
 class WordEncoder:
     """Encodes whole texts, merging the words that are new to it together."""
 
-    def __init__(self, merges: WordMerges, rules: Rules):
+    def __init__(self, merges: WordMerges, rules: Rules | Pieces):
         self.merges, self.rules = merges, rules
         self.known: dict[str, bytes] = {}
         self.held = 0

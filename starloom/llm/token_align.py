@@ -50,6 +50,9 @@ BLOCK_PAIRS = 1 << 20
 #: Links of an irregular group that are written out one by one; larger ones go by distinct ids.
 PLAIN_LINKS = 64
 
+#: Ends of a stretch that are compared before slices are.
+NEAR = 16
+
 SPACE = "▁"
 
 
@@ -104,8 +107,14 @@ def cuts(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begins_a, begins_b, sizes = [], [], []
     while i < len(a):
         if a[i] == b[j]:
-            size = 1
-            most, probe = min(len(a) - i, len(b) - j), 1
+            # The first few ends are compared one by one, which slices would not make faster.
+            size, probe = 1, NEAR
+            most = min(len(a) - i, len(b) - j)
+            near = min(most, NEAR)
+            while size < near and a[i + size] == b[j + size]:
+                size += 1
+            if size < near:
+                most = size
             while size < most:
                 probe = min(probe, most - size)
                 from_a, from_b = width * (i + size), width * (j + size)
@@ -194,10 +203,11 @@ class Aligner:
 
     def _align(self, text: str, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...] | None:
         whole = (self.first.prefix + text).encode()
-        for ids, tokens in ((a, self.first), (b, self.second)):
-            if b"".join(map(tokens.bytes_of.__getitem__, ids.tolist())) != whole:
-                return None
-        return a, b, *cuts(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]))
+        a_ends, b_ends = self.a_sizes[a].cumsum(), self.b_sizes[b].cumsum()
+        # Byte-level tokens are cut from the text itself, so their sizes tell whether they cover it.
+        if a_ends[-1] != len(whole) or b"".join(map(self.second.bytes_of.__getitem__, b.tolist())) != whole:
+            return None
+        return a, b, *cuts(a_ends, b_ends)
 
     def write(self, a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> bytes:
         """The groups as text: ``a1,a2|b1;a3|b2,b3``."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the page name that marks a play.
@@ -47,3 +47,15 @@ def distinct_projection(
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Full-row duplicate removal."""
     return df.dropDuplicates()
+
+
+def row_hash(columns: Sequence[str]) -> list[Column]:
+    """128 bits that stand for the values of a row, as two columns ``_row0`` and ``_row1``.
+
+    Hash functions pass over NULLs, so which columns are NULL is hashed along.
+    """
+    values = [F.col(name) for name in columns] + [F.col(name).isNull() for name in columns]
+    return [F.xxhash64(F.lit(seed), *values).alias(f"_row{seed}") for seed in (0, 1)]
+
+
+ROW_HASH = ("_row0", "_row1")

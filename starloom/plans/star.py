@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,8 +76,15 @@ def build_songplays(
     catalogue: dict[str, DataFrame],
     profile: Profile,
     first_id: int = 1,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """The fact: play events with their song, in the registry's columns."""
+    """The fact: play events with their song, in the registry's columns.
+
+    ``keep`` names further columns of the events to carry along; the fact's own
+    duplicates cannot be removed then.
+    """
+    if keep and profile.dedup_fact:
+        raise ValueError("further columns tell rows of the fact apart")
     if profile.match_against == "dimensions":
         songs = catalogue["songs"]
         if any(key.song == "artist_name" for key in profile.match_keys):
@@ -96,7 +105,7 @@ def build_songplays(
         "location",
         F.col("userAgent").alias("user_agent"),
         F.col("itemInSession").alias("_item"),
-        *[key.event for key in profile.match_keys],
+        *dict.fromkeys([*[key.event for key in profile.match_keys], *keep]),
     )
     how, spread = profile.match_how, {"hot_share": profile.hot_share, "spread": profile.spread}
     if profile.dedup_fact and how == "inner" and profile.match_duplicates == "all":
@@ -107,7 +116,7 @@ def build_songplays(
             fact = distinct_rows(fact.select(*PLAY_VALUES, "song_id", "artist_id"))
     if profile.dedup_fact:
         fact = fact.withColumn("_item", F.lit(0))
-    fact = fact.select(*FACT_COLUMNS, "_item")
+    fact = fact.select(*FACT_COLUMNS, "_item", *keep)
     if profile.play_key == "dense":
         order = PLAY_ORDER if profile.numbered_in_order else ()
         keyed = dense_key(fact, order, "songplay_id", first_id)

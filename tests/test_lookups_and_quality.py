@@ -1,6 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
-from starloom import schemas
+from starloom import schemas, workloads
 from starloom.operators import quality
 from starloom.operators.lookup import (
     LOOKUP_TABLES,
@@ -15,6 +16,7 @@ from starloom.operators.match import TITLE, match
 from starloom.operators.star import Dimension, measured_bytes, replicate, star_join
 from starloom.plans import load_lookups, stage_listens
 from starloom.schemas import ForeignKey
+from starloom.workloads.loads import write_raw_files
 from tests.conftest import plan_of, rows_of
 
 HEAD = "artist,auth,firstName,gender,itemInSession,lastName,length,level,location,method,page,registration,sessionId,song,status,ts,userId\n"
@@ -219,3 +221,23 @@ def test_only_small_tables_are_replicated(spark):
         assert "SortMergeJoin" in plan_of(fact.join(replicate(dim, size - 1), "id"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_queries_read_the_tables_as_they_are_now(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for name in ("part", "lineitem", "orders", "customer", "events"):
+        spark.read.parquet(f"{source}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    title = spark.read.parquet(f"{source}/part.parquet").select("p_name").first()[0]
+    session = spark.read.parquet(f"{source}/lineitem.parquet").filter("l_orderkey = 56").count()
+    assert session and workloads.queries()["lookup_user_session"](spark, str(tmp_path)).count() > 0
+    less = spark.read.parquet(f"{source}/lineitem.parquet").filter("l_orderkey != 56")
+    less.write.mode("overwrite").parquet(str(tmp_path / "lineitem.parquet"))
+    assert workloads.queries()["lookup_user_session"](spark, str(tmp_path)).count() == 0
+    few = spark.read.parquet(f"{source}/part.parquet").filter(F.col("p_name") != title)
+    before = raw_song_files(spark, str(tmp_path))
+    few.write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
+    assert raw_song_files(spark, str(tmp_path)) == few.count() < before
+
+
+def raw_song_files(spark, sf_dir):
+    return spark.read.json(write_raw_files(spark, sf_dir).songs).count()

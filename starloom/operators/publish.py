@@ -1,62 +1,85 @@
 """Versions of tables that become readable together.
 
-Each load writes its tables to new directories. Appending one small file to the
-publication log then makes all of them current at once; until that happens
-readers see the previous version, and a failed load leaves no trace in it. One
-loader runs at a time.
+Each load writes its tables to new directories. One small numbered file in the log
+then makes all of them current at once; until that happens readers see the previous
+state, and a failed load leaves no trace in it.
+
+Several loaders may work at the same time. Each builds on the state it has read; the
+next number of the log can be taken once, so of two that finish together one is second,
+reads the first one's state and adds its own tables to that. What a loader made out of
+the earlier rows of a table does not fit any more if another loader has changed that
+table: :class:`Conflict` is raised, nothing is published, and the loader does that part
+again.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.operators.load import write_table
-from starloom.storage import children, remove
+from starloom.storage import children, create_new, read_text, remove
 
 LOG = "_published"
-LOG_SCHEMA = "sequence long, table_name string, versions array<string>, columns string"
+ENTRY = re.compile(r"(\d{20})\.json")
 VERSION = "version"
 STAGING = "_staging"
 
 
 @dataclass(frozen=True)
 class Published:
-    """What readers see of a table: its versions, oldest first, and its columns."""
+    """What readers see of a table: its versions, oldest first, and its columns.
+
+    ``sequence`` is the log entry that changed it last. Files in ``dropped`` have been
+    replaced by those of a later version.
+    """
 
     versions: tuple[str, ...]
     schema: StructType
     sequence: int
+    dropped: tuple[str, ...] = ()
+
+
+class Conflict(RuntimeError):
+    """Tables that a load was built on have been changed by another one."""
 
 
-def _log(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/{LOG}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LOG_SCHEMA)
+def _latest(spark: SparkSession, root: str) -> tuple[int, dict[str, Published]]:
+    """The number of the last log entry, and the state of every table that it holds."""
+    entries = [name for name in children(spark, f"{root}/{LOG}") if ENTRY.fullmatch(name)]
+    if not entries:
+        return 0, {}
+    state = json.loads(read_text(spark, f"{root}/{LOG}/{entries[-1]}"))
+    found = {
+        table: Published(tuple(e["versions"]), StructType.fromJson(e["columns"]), e["sequence"], tuple(e["dropped"]))
+        for table, e in state.items()
+    }
+    return int(entries[-1].partition(".")[0]), found
+
+
+def _append(spark: SparkSession, root: str, number: int, state: Mapping[str, Published]) -> bool:
+    """Write the log entry ``number`` unless another loader has."""
+    entries = {
+        table: {
+            "versions": each.versions,
+            "columns": each.schema.jsonValue(),
+            "sequence": each.sequence,
+            "dropped": each.dropped,
+        }
+        for table, each in state.items()
+    }
+    return create_new(spark, f"{root}/{LOG}/{number:020d}.json", json.dumps(entries))
 
 
 def current(spark: SparkSession, root: str) -> dict[str, Published]:
     """The published state of every table."""
-    latest = _log(spark, root).groupBy("table_name").agg(
-        F.max(F.struct("sequence", "versions", "columns")).alias("entry")
-    )
-    return {
-        row.table_name: Published(
-            tuple(row.entry.versions),
-            StructType.fromJson(json.loads(row.entry.columns)),
-            row.entry.sequence,
-        )
-        for row in latest.collect()
-    }
+    return _latest(spark, root)[1]
 
 
 def write_version(
@@ -66,8 +89,14 @@ def write_version(
     version: str,
     partition_by: Sequence[str] = (),
     number: str | None = None,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Store rows under a version that nobody reads yet; gives the stored rows."""
+    """Store rows under a version that nobody reads yet; gives the stored rows.
+
+    With ``order_by`` each file holds a range of these columns.
+    """
+    if order_by:
+        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     path = f"{root}/{table}/{VERSION}={version}"
     write_table(df, path, "overwrite", partition_by, number=number)
     schema = df.schema
@@ -82,23 +111,50 @@ def publish(
     version: str,
     modes: Mapping[str, str],
     schemas: Mapping[str, StructType],
-) -> None:
-    """Make ``version`` current for the given tables.
+    based_on: Mapping[str, int] | None = None,
+    dropped: Mapping[str, Sequence[str]] | None = None,
+) -> int:
+    """Make ``version`` current for the given tables; gives the number of the log entry.
 
     ``modes`` maps a table to ``overwrite`` (only this version is read from now
-    on) or ``append`` (this version joins those already published).
+    on) or ``append`` (this version joins those already published, less the files
+    that it replaces, ``dropped``). ``based_on`` maps tables whose earlier rows went
+    into the load to the ``sequence`` they had (0 for none): if one has another by
+    now, :class:`Conflict` is raised.
     """
-    now = current(spark, root)
-    number = 1 + max((entry.sequence for entry in now.values()), default=0)
-    rows = []
     for table, mode in modes.items():
         if mode not in ("overwrite", "append"):
             raise ValueError(f"{table}: mode is 'overwrite' or 'append'")
-        versions = [version]
-        if mode == "append" and table in now:
-            versions = [*(v for v in now[table].versions if v != version), version]
-        rows.append((number, table, versions, schemas[table].json()))
-    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
+    while True:
+        number, now = _latest(spark, root)
+        changed = [t for t, at in (based_on or {}).items() if (now[t].sequence if t in now else 0) != at]
+        if changed:
+            raise Conflict(f"{', '.join(changed)} changed while version {version} was made")
+        state = dict(now)
+        for table, mode in modes.items():
+            versions, gone = (version,), ()
+            if mode == "append" and table in now:
+                versions = (*[v for v in now[table].versions if v != version], version)
+                gone = (*now[table].dropped, *(dropped or {}).get(table, ()))
+            state[table] = Published(versions, schemas[table], number + 1, gone)
+        # Whoever is second reads the other's entry and tries the next number.
+        if _append(spark, root, number + 1, state):
+            return number + 1
+
+
+def touched_files(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Names of the files of ``stored`` (as :func:`read_versions` gives it) that hold a key of ``incoming``.
+
+    Only the key columns are read. The driver gets one name per file.
+    """
+    held = stored.select(*keys, F.col("_metadata.file_name").alias("_file"))
+    return [row[0] for row in held.join(incoming.select(*keys), list(keys), "left_semi").select("_file").distinct().collect()]
+
+
+def in_files(stored: DataFrame, files: Sequence[str], inside: bool = True) -> DataFrame:
+    """The rows of ``stored`` in the named files, or outside of them; other files are not opened."""
+    named = F.col("_metadata.file_name").isin(list(files))
+    return stored.filter(named if inside else ~named)
 
 
 def compact(
@@ -107,29 +163,29 @@ def compact(
     """Put all versions of a table into one, ``version``, and make that current."""
     now = current(spark, root)[table]
     if len(now.versions) > 1:
-        rows = read_versions(spark, root, table, now.versions, now.schema)
+        rows = read_state(spark, root, table, now)
         write_version(rows, root, table, version, partition_by)
-        publish(spark, root, version, {table: "overwrite"}, {table: now.schema})
+        publish(spark, root, version, {table: "overwrite"}, {table: now.schema}, {table: now.sequence})
 
 
 def vacuum(spark: SparkSession, root: str) -> list[str]:
     """Remove what no reader needs any more; gives what was removed.
 
-    These are versions that were replaced, compacted or never published, staged raw
-    files, and log entries that later ones replace. Only while no load is running,
-    and when no reader still works on an older version.
+    These are versions that were replaced, compacted or never published, files that
+    later versions replace, staged raw files, and log entries but the last. Only while
+    no load is running, and when no reader still works on an older version.
     """
     gone = []
-    for table, state in current(spark, root).items():
+    number, state = _latest(spark, root)
+    for table, each in state.items():
         names = children(spark, f"{root}/{table}")
-        kept = {f"{VERSION}={version}" for version in state.versions}
+        kept = {f"{VERSION}={version}" for version in each.versions}
         gone += [f"{table}/{name}" for name in names if name.startswith(f"{VERSION}=") and name not in kept]
+        if each.dropped:
+            held = [f"{table}/{of}/{name}" for of in kept for name in children(spark, f"{root}/{table}/{of}")]
+            gone += [path for path in held if path.rpartition("/")[2] in each.dropped]
     gone += [f"{STAGING}/{name}" for name in children(spark, f"{root}/{STAGING}")]
-    entries = _log(spark, root).select("table_name", "sequence", F.col("_metadata.file_name").alias("file"))
-    latest = entries.groupBy("table_name").agg(F.max(F.struct("sequence", "file")).alias("last"))
-    needed = {row.file for row in latest.select("last.file").distinct().collect()}
-    logged = [name for name in children(spark, f"{root}/{LOG}") if name.startswith("part-")]
-    gone += [f"{LOG}/{name}" for name in logged if name not in needed]
+    gone += [f"{LOG}/{name}" for name in children(spark, f"{root}/{LOG}") if name != f"{number:020d}.json"]
     for path in gone:
         remove(spark, f"{root}/{path}")
     return gone
@@ -144,9 +200,15 @@ def read_versions(
     return stored.select(*schema.names)
 
 
+def read_state(spark: SparkSession, root: str, table: str, state: Published) -> DataFrame:
+    """The rows of a published state, without those of replaced files."""
+    rows = read_versions(spark, root, table, state.versions, state.schema)
+    return in_files(rows, state.dropped, inside=False) if state.dropped else rows
+
+
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The current rows of a table."""
     found = current(spark, root).get(table)
     if found is None:
         raise LookupError(f"{table} has not been published under {root}")
-    return read_versions(spark, root, table, found.versions, found.schema)
+    return read_state(spark, root, table, found)

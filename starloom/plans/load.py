@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,12 @@ from starloom.operators.upsert import insert_absent, merge_upsert
 from starloom.plans.profiles import Profile
 from starloom.plans.star import build_catalogue, build_songplays, build_time, build_users
 from starloom.sources import read_staged, stage
-from starloom.storage import scratch
+from starloom.storage import materialize, scratch
 
 MERGE_UPDATES = {"users": dims.USER_UPDATE, "artists": dims.ARTIST_UPDATE}
+#: How often a load is built that others overtake.
+ATTEMPTS = 10
+
 PRIMARY_KEYS = {table.name: list(table.primary_key) for table in schemas.DIMENSIONS}
 
 
@@ -59,16 +63,25 @@ def run(
 
     Tables are written to directories of their own and published together at
     the end, after the checks; a load that fails before leaves readers with
-    what they had.
+    what they had. Several loads may run at the same time: one that was built on
+    tables that another has changed meanwhile builds them again from its staged rows.
     """
     version = version or uuid.uuid4().hex
-    # Intermediates of the keys are of no use once the versions are written.
-    with scratch(spark):
-        _load(spark, sources, output, profile, version)
+    staged = _stage(spark, sources, output, version)
+    for attempt in range(ATTEMPTS):
+        # Intermediates of the keys are of no use once the versions are written.
+        with scratch(spark):
+            try:
+                _build(spark, staged["songs"], staged["events"], output, profile, version)
+                break
+            except publish.Conflict:
+                if attempt + 1 == ATTEMPTS:
+                    raise
     return version
 
 
-def _load(spark: SparkSession, sources: Sources, output: str, profile: Profile, version: str) -> None:
+def _stage(spark: SparkSession, sources: Sources, output: str, version: str) -> dict[str, DataFrame]:
+    """The raw files as typed tables, songs and events."""
     staging = f"{output}/{publish.STAGING}/{version}"
     staged: dict[str, DataFrame] = {}
 
@@ -96,17 +109,25 @@ def _load(spark: SparkSession, sources: Sources, output: str, profile: Profile,
             (stage_files, "events", *events_from, schemas.STAGED_EVENT, sources.events_raw),
         ]
     )
-    raw_songs, events = staged["songs"], staged["events"]
+    return staged
+
+
+def _build(
+    spark: SparkSession, raw_songs: DataFrame, events: DataFrame, output: str, profile: Profile, version: str
+) -> None:
     published = publish.current(spark, output)
+    replaced: dict[str, list[str]] = {}
 
     def earlier(table: str) -> DataFrame:
-        state = published[table]
-        return publish.read_versions(spark, output, table, state.versions, state.schema)
+        return publish.read_state(spark, output, table, published[table])
 
     def whole(table: str) -> DataFrame:
         """The table as readers will see it."""
         if modes[table] == "append" and table in published:
-            return earlier(table).unionByName(stored[table])
+            rows = earlier(table)
+            if table in replaced:
+                rows = publish.in_files(rows, replaced[table], inside=False)
+            return rows.unionByName(stored[table])
         return stored[table]
 
     modes: dict[str, str] = {}
@@ -116,14 +137,24 @@ def _load(spark: SparkSession, sources: Sources, output: str, profile: Profile,
         mode = profile.load_modes.get(table, "overwrite")
         if table in published and mode in ("merge", "insert"):
             if mode == "merge":
-                df = merge_upsert(earlier(table), df, PRIMARY_KEYS[table], MERGE_UPDATES[table])
+                # Only files that hold an incoming key are written again.
+                keys, rows, df = PRIMARY_KEYS[table], earlier(table), materialize(df, f"incoming-{table}")
+                files = publish.touched_files(rows, df, keys)
+                df = merge_upsert(publish.in_files(rows, files), df, keys, MERGE_UPDATES[table])
+                replaced[table] = files
             else:
                 within = "start_time" if table == "time" else None
                 df = insert_absent(earlier(table), df, PRIMARY_KEYS[table], within)
         stored[table] = publish.write_version(
-            df, output, table, version, profile.partition_by.get(table, ()), number
+            df,
+            output,
+            table,
+            version,
+            profile.partition_by.get(table, ()),
+            number,
+            PRIMARY_KEYS[table] if mode == "merge" else (),
         )
-        modes[table] = "append" if mode in ("append", "insert") else "overwrite"
+        modes[table] = "append" if mode in ("append", "insert", "merge") else "overwrite"
 
     catalogue = build_catalogue(raw_songs, profile)
     _together([(write, name, df) for name, df in catalogue.items()])
@@ -152,7 +183,14 @@ def _load(spark: SparkSession, sources: Sources, output: str, profile: Profile,
         frames = {name: whole(name) for name in stored}
         checks = [quality.check_table(table, frames) for table in schemas.STAR]
         quality.require(quality.report(checks))
-    publish.publish(spark, output, version, modes, {name: df.schema for name, df in stored.items()})
+    columns = {name: df.schema for name, df in stored.items()}
+    built_on = {name for name in stored if profile.load_modes.get(name) in ("merge", "insert")}
+    if profile.play_key == "dense":
+        built_on.add("songplays")
+    if profile.match_against == "dimensions":
+        built_on |= {name for name in catalogue if modes[name] == "append"}
+    based_on = {name: published[name].sequence if name in published else 0 for name in built_on}
+    publish.publish(spark, output, version, modes, columns, based_on, replaced)
 
 
 def _last_id(spark: SparkSession, output: str, plays: publish.Published) -> int:
@@ -169,7 +207,7 @@ def _last_id(spark: SparkSession, output: str, plays: publish.Published) -> int:
 def _together(jobs: Sequence[tuple]) -> None:
     """Run independent writes at the same time; the first failure is raised."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for done in [pool.submit(*job) for job in jobs]:
+        for done in [pool.submit(copy_context().run, *job) for job in jobs]:
             done.result()
 
 
@@ -196,7 +234,7 @@ def create_views(spark: SparkSession, output: str, profile: Profile | None = Non
     """Temporary views of all published tables, for SQL; with the profile's headings if given."""
     published = publish.current(spark, output)
     for name, state in published.items():
-        rows = publish.read_versions(spark, output, name, state.versions, state.schema)
+        rows = publish.read_state(spark, output, name, state)
         if profile:
             rows = labelled(rows, name, profile)
         rows.createOrReplaceTempView(name)

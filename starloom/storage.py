@@ -10,7 +10,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,24 +39,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the stored rows."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    for paths in _scratches:
+    for paths in _scratches.get():
         paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_scratches: list[list[str]] = []
+#: Of the work at hand; loads in other threads have their own.
+_scratches: ContextVar[tuple[list[str], ...]] = ContextVar("scratches", default=())
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """What is materialized inside is removed at the end; only for work that is stored elsewhere by then."""
+    """What is materialized inside is removed at the end; only for work that is stored elsewhere by then.
+
+    Threads started inside belong to it if they run in a copy of the context.
+    """
     paths: list[str] = []
-    _scratches.append(paths)
+    before = _scratches.set((*_scratches.get(), paths))
     try:
         yield
     finally:
-        _scratches.remove(paths)
+        _scratches.reset(before)
         for path in paths:
             remove(spark, path)
 
@@ -77,3 +83,48 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or a directory with all it holds."""
     system, place = _at(spark, path)
     system.delete(place, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    system, place = _at(spark, path)
+    stream = system.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one of that name; gives whether it was written.
+
+    Of several that try at once exactly one succeeds, and nobody sees half a file: a
+    draft gets the name in one step that fails if the name is taken. That is a link on
+    a local disk and a rename elsewhere, which HDFS and the like refuse over an existing
+    file. A plain object store has no such step.
+    """
+    jvm = spark.sparkContext._jvm
+    folder, _, name = path.rpartition("/")
+    system, place = _at(spark, folder)
+    system.mkdirs(place)
+    # Where a mounted folder really is decides how a name is taken.
+    place = system.resolvePath(place)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    new_path_of = jvm.org.apache.hadoop.fs.Path
+    target, draft = new_path_of(place, name), new_path_of(place, f".draft-{uuid.uuid4().hex}")
+    out = system.create(draft, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    try:
+        if system.getScheme() != "file":
+            return system.rename(draft, target)
+        at = [jvm.java.nio.file.Path.of(each.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.String, 0)) for each in (target, draft)]
+        try:
+            jvm.java.nio.file.Files.createLink(*at)
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+                raise
+            return False
+        return True
+    finally:
+        system.delete(draft, False)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import publish, tables
 from starloom.operators.load import append_fact, load_dim, write_quoted_csv, write_table
+from starloom.operators.layout import by_several, replace_groups
+from starloom.operators.upsert import merge_upsert
 from starloom.schemas import Table, columns
 from starloom.sources import (
     by_json_paths,
@@ -239,7 +243,7 @@ SELECT p_partkey, p_name, p_retailprice, p_size, p_brand
 FROM part WHERE p_partkey % 2 = 1 AND (p_size, p_brand) NOT IN (SELECT p_size, p_brand FROM part WHERE p_partkey % 2 = 0)"""
 )
 def parquet_by_year_and_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Songs partitioned by year and artist; a second load replaces the partitions that it has rows for."""
+    """Songs laid out by year and artist; a second load replaces the pairs that it has rows for."""
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("song_id"),
         F.col("p_name").alias("title"),
@@ -247,11 +251,18 @@ def parquet_by_year_and_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").alias("year"),
         F.col("p_brand").alias("artist_id"),
     )
-    root = new_path(spark, "by-artist")
-    for rest, touched in ((1, False), (0, True)):
-        rows = part.filter(F.col("song_id") % 2 == rest)
-        write_table(rows, root, partition_by=["year", "artist_id"], only_touched_partitions=touched)
-    return scan_parquet(spark, root, part.schema)
+    root, names = new_path(spark, "by-artist"), ["year", "artist_id"]
+    kinds = {"songs": part.schema}
+    first, second = (part.filter(F.col("song_id") % 2 == rest) for rest in (1, 0))
+    publish.write_version(by_several(first, names, files=32), root, "songs", "first")
+    publish.publish(spark, root, "first", {"songs": "overwrite"}, kinds)
+    state = publish.current(spark, root)["songs"]
+    stored = publish.read_state(spark, root, "songs", state)
+    files = publish.touched_files(stored, second, names)
+    rows = replace_groups(publish.in_files(stored, files), second, names)
+    publish.write_version(by_several(rows, names), root, "songs", "second")
+    publish.publish(spark, root, "second", {"songs": "append"}, kinds, {"songs": state.sequence}, {"songs": files})
+    return publish.read_published(spark, root, "songs")
 
 
 @query(
@@ -326,6 +337,52 @@ def publish_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.read_published(spark, root, "orders").withColumn("versions", F.lit(versions).cast("long"))
 
 
+@query(f"SELECT *, CAST(2 AS BIGINT) AS loaders FROM ({ORDERS_SQL})")
+def publish_two_loaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads started together, each with half of the orders; none loses the other's."""
+    root, orders = new_path(spark, "loaders"), _orders(spark, sf_dir)
+
+    def load(part: int) -> None:
+        publish.write_version(orders.filter(F.pmod("o_orderkey", F.lit(2)) == part), root, "orders", str(part))
+        publish.publish(spark, root, str(part), {"orders": "append"}, {"orders": orders.schema})
+
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(load, part) for part in range(2)]:
+            done.result()
+    loaders = len(publish.current(spark, root)["orders"].versions)
+    return publish.read_published(spark, root, "orders").withColumn("loaders", F.lit(loaders).cast("long"))
+
+
+CHANGED = "c_custkey BETWEEN (SELECT max(c_custkey) // 2 FROM customer) AND (SELECT max(c_custkey) // 2 + max(c_custkey) // 100 FROM customer)"
+
+
+@query(
+    f"""
+SELECT c_custkey, c_name, CASE WHEN {CHANGED} THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment,
+       true AS few_files FROM customer
+UNION ALL SELECT c_custkey + (SELECT max(c_custkey) FROM customer), c_name, 'CHANGED', true FROM customer WHERE {CHANGED}"""
+)
+def merge_touched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One customer in a hundred changes and as many are new: of forty files only those that hold them are written again."""
+    root = new_path(spark, "merge")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    publish.write_version(customers.repartitionByRange(40, "c_custkey"), root, "customer", "first")
+    publish.publish(spark, root, "first", {"customer": "overwrite"}, {"customer": customers.schema})
+    state = publish.current(spark, root)["customer"]
+    stored = publish.read_state(spark, root, "customer", state)
+    last = stored.agg(F.max("c_custkey")).first()[0]
+    some = stored.filter(F.col("c_custkey").between(last // 2, last // 2 + last // 100))
+    some = some.withColumn("c_mktsegment", F.lit("CHANGED"))
+    incoming = some.union(some.withColumn("c_custkey", F.col("c_custkey") + last))
+    files = publish.touched_files(stored, incoming, ["c_custkey"])
+    merged = merge_upsert(publish.in_files(stored, files), incoming, ["c_custkey"], ["c_mktsegment"])
+    publish.write_version(merged, root, "customer", "second", order_by=["c_custkey"])
+    modes, kinds = {"customer": "append"}, {"customer": customers.schema}
+    publish.publish(spark, root, "second", modes, kinds, {"customer": state.sequence}, {"customer": files})
+    publish.vacuum(spark, root)
+    return publish.read_published(spark, root, "customer").withColumn("few_files", F.lit(len(files) <= 3))
+
+
 @query("SELECT s_suppkey, s_name FROM supplier")
 def recreate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog tables dropped, created, filled by name, emptied and filled again."""

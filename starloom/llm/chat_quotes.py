@@ -15,22 +15,31 @@ The result has a row for each message, without quotes, in reply order.
 
 Only DataFrame functions are used. A passage that many messages wrote is reduced to
 one candidate for each thread and one for all, so common greetings make no pairs;
-passages of fewer than ``LEAST_WORDS`` words are looked for in the same thread only;
-conversations are never gathered in one place.
+passages of fewer than ``least_words`` words are looked for in the same thread only;
+conversations are never gathered in one place. What is joined are hashes; texts are cut
+once, when the result is put together.
+
+A message's own text is kept line by line as it stands, empty lines too, without quoted
+lines and without a line that only says who wrote if a quote follows it. What was taken
+out is in the column ``quoted``, since lines that begin with ``>`` need not be quotes.
 
 Defined results: NULL and empty bodies quote nothing and are roots of their own; so
 are messages whose quotes nobody wrote. A message never replies to itself or to a
-later one. Rows that repeat a message id are reduced to the one with the least body.
-Messages without an id are dropped, since nothing can refer to them. An empty table
-gives an empty one; extra columns are not looked at.
+later one. A message id with several bodies gives a row for each, told apart by
+``variant``, a hash of the body; rows that repeat id and body are one, with the least
+thread, time and role. Messages without an id are dropped, since nothing can refer to
+them. A lone carriage return ends a line and becomes a line feed. An empty table gives
+an empty one; extra columns are not looked at.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.tables import let, only
+from starloom.llm.tables import SPACES, let, only
 from starloom.storage import materialize
 
 MARKS = r"^[ \t]*((?:>[ \t]*)+)"
@@ -41,21 +50,46 @@ LEAST_WORDS = 3
 
 
 def lines_of(body: Column) -> Column:
-    """Lines with content: level, normalised text, and the line without marks."""
+    """Each line as it stands, its quote level, whether it has content, and whether it is ``own`` text.
 
-    def line(raw: Column, at: Column) -> Column:
-        marks = F.regexp_extract(raw, MARKS, 1)
-        plain = F.regexp_replace(raw, MARKS, "")
-        normal = F.lower(F.btrim(F.regexp_replace(plain, r"\s+", " ")))
-        return F.struct(
-            at.alias("at"),
-            F.char_length(F.regexp_replace(marks, "[^>]", "")).alias("level"),
-            normal.alias("normal"),
-            plain.alias("plain"),
-        )
+    A line that says who wrote belongs to the quote if the next line with content is
+    quoted deeper.
+    """
 
-    raw = F.split(F.regexp_replace(F.coalesce(body, F.lit("")), "\r\n?", "\n"), "\n", -1)
-    return F.filter(F.transform(raw, line), lambda x: (x["normal"] != "") & ~x["normal"].rlike(ATTRIBUTION))
+    def line(raw: Column) -> Column:
+        quoted = raw.rlike(r"^[ \t]*>")
+        plain = F.when(quoted, F.regexp_replace(raw, MARKS, "")).otherwise(raw)
+        marks = F.char_length(F.regexp_replace(F.regexp_extract(raw, MARKS, 1), "[^>]", ""))
+        return F.struct(raw.alias("raw"), F.when(quoted, marks).otherwise(0).alias("level"), plain.alias("plain"))
+
+    def judged(lines: Column) -> Column:
+        def of(x: Column, at: Column) -> Column:
+            shown = F.btrim(x["plain"], F.lit(SPACES))
+            rest = F.slice(lines, at + 2, F.size(lines))
+            after = F.try_element_at(F.filter(rest, lambda y: y["plain"].rlike(r"\S")), F.lit(1))
+            says = shown.rlike(ATTRIBUTION) & F.coalesce(after["level"] > x["level"], F.lit(False))
+            return F.struct(
+                x["raw"].alias("raw"),
+                x["level"].alias("level"),
+                ((shown != "") & ~says).alias("content"),
+                ((x["level"] == 0) & ~says).alias("own"),
+                x["plain"].alias("plain"),
+            )
+
+        return F.transform(lines, of)
+
+    raw = F.split(F.coalesce(body, F.lit("")), "\n|\r(?!\n)", -1)
+    return let(F.transform(raw, line), judged)
+
+
+def _normal(lines: Column) -> Column:
+    """Lines with content in the form in which they are compared."""
+    return F.transform(
+        F.filter(lines, lambda x: x["content"]),
+        lambda x: F.struct(
+            x["level"].alias("level"), F.lower(F.btrim(F.regexp_replace(x["plain"], r"\s+", " "))).alias("normal")
+        ),
+    )
 
 
 def _passages(lines: Column) -> Column:
@@ -97,26 +131,25 @@ def _pieces(passages: Column) -> Column:
     return F.flatten(F.transform(passages, of))
 
 
-def parse(messages: DataFrame) -> DataFrame:
-    """``own`` text without quotes, and the hashed ``pieces`` with their levels."""
-    lines = materialize(
-        messages.select(*[c for c in messages.columns if c != "body"], lines_of(F.col("body")).alias("lines")), "lines"
-    )
-    own = F.filter("lines", lambda x: x["level"] == 0)
-    return lines.select(
-        *[c for c in lines.columns if c != "lines"],
-        F.array_join(F.transform(own, lambda x: x["plain"]), "\n").alias("own"),
-        _pieces(_passages(F.col("lines"))).alias("pieces"),
-        # The own lines as one passage too, for quotes that leave out answers in between.
-        let(
-            F.array_join(F.transform(own, lambda x: x["normal"]), " "),
-            lambda text: F.when(text != "", _piece(text, F.lit(0))),
-        ).alias("whole"),
-    )
+def parse(body: Column) -> Column:
+    """The hashed ``pieces`` of a message with their levels, and its ``whole`` own text as one passage.
 
+    The latter is for quotes that leave out answers in between.
+    """
+
+    def hashed(lines: Column) -> Column:
+        own = F.filter(lines, lambda x: x["level"] == 0)
+        text = F.array_join(F.transform(own, lambda x: x["normal"]), " ")
+        return F.struct(
+            _pieces(_passages(lines)).alias("pieces"),
+            let(text, lambda t: F.when(t != "", _piece(t, F.lit(0)))).alias("whole"),
+        )
+
+    return let(_normal(lines_of(body)), hashed)
 
-def link(parsed: DataFrame) -> DataFrame:
-    """(``id``, ``parent``) for messages whose quotes some earlier message wrote."""
+
+def link(parsed: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(``id``, ``parent``) for messages whose quotes some earlier message wrote; ids are (id, variant)."""
     own = F.array_union(
         F.filter("pieces", lambda x: x["level"] == 0), F.filter(F.array("whole"), lambda x: x.isNotNull())
     )
@@ -128,9 +161,9 @@ def link(parsed: DataFrame) -> DataFrame:
     # One candidate for each passage and thread, and one for each passage: who wrote it first.
     writer = F.min(F.struct("sent", "id")).alias("w")
     here = quoted.join(written.groupBy("h1", "h2", "thread").agg(writer), ["h1", "h2", "thread"])
-    telling = F.col("words") >= LEAST_WORDS
+    telling = F.col("words") >= least_words
     elsewhere = quoted.filter(telling).join(written.filter(telling).groupBy("h1", "h2").agg(writer), ["h1", "h2"])
-    earlier = F.struct("w.sent", "w.id") < F.struct("sent", "id")
+    earlier = (F.struct("w.sent", "w.id") < F.struct("sent", "id")) & (F.col("w.id.id") != F.col("id.id"))
     columns = ["id", "level", "words", F.col("w.id").alias("parent"), F.col("w.sent").alias("at")]
     here = here.filter(earlier).select(*columns, F.lit(1).alias("same"))
     elsewhere = elsewhere.filter(earlier).select(*columns, F.lit(0).alias("same"))
@@ -151,21 +184,24 @@ def trees(ids: DataFrame, links: DataFrame) -> DataFrame:
         F.col("parent").isNull().alias("done"),
     )
     state = materialize(state, "replies")
-    while not state.filter("not done").isEmpty():
-        # A message that has reached a root needs no more steps and is not moved again.
-        above = state.filter("parent is not null").select(
+    finished, moving = [state.filter("done")], state.filter("not done")
+    while not moving.isEmpty():
+        # A message that has reached a root needs no more steps and is not written again.
+        known = reduce(DataFrame.union, finished, moving).filter("parent is not null")
+        above = known.select(
             F.col("id").alias("jump"), F.col("jump").alias("next"), F.col("depth").alias("more"), F.col("done").alias("last")
         )
-        stepped = state.filter("not done").join(above, "jump", "left")
-        stepped = stepped.select(
+        stepped = moving.join(above, "jump", "left").select(
             "id",
             "parent",
             F.coalesce("next", "jump").alias("jump"),
             (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
             F.coalesce("last", F.lit(True)).alias("done"),
         )
-        state = materialize(state.filter("done").union(stepped), "replies")
-    return state.select("id", "parent", F.col("jump").alias("root"), "depth")
+        stepped = materialize(stepped, "replies")
+        finished.append(stepped.filter("done"))
+        moving = stepped.filter("not done")
+    return reduce(DataFrame.union, finished).select("id", "parent", F.col("jump").alias("root"), "depth")
 
 
 def conversations(
@@ -175,19 +211,42 @@ def conversations(
     sent_col: str = "sent",
     role_col: str = "role",
     body_col: str = "body",
+    least_words: int = LEAST_WORDS,
 ) -> DataFrame:
-    """One row per message: ``root``, ``depth``, ``id``, ``parent``, ``role``, ``text`` without quotes.
+    """One row per message and body: ``root``, ``depth``, ``id``, ``variant``, ``parent``, ``role``, ``text``, ``quoted``.
 
+    ``text`` is without quotes, ``quoted`` has the lines taken out, NULL if there are none.
     Ordered by root, depth and id the rows are conversations in reply order. ``sent``
     is a number or time that grows; ids are of one type that can be ordered.
     """
     rows = only(messages, id=id_col, thread=thread_col, sent=sent_col, role=role_col, body=body_col)
     rows = rows.filter("id is not null")
-    rows = rows.groupBy("id").agg(F.min(F.struct("body", "thread", "sent", "role")).alias("m")).select("id", "m.*")
-    parsed = materialize(parse(rows), "messages")
-    found = trees(parsed.select("id"), link(parsed))
-    return found.join(parsed.select("id", "thread", "role", F.col("own").alias("text")), "id").select(
-        "root", "depth", "id", "parent", "thread", "role", "text"
+    key = F.struct("id", F.xxhash64(F.coalesce("body", F.lit(""))).alias("variant"))
+    parsed = rows.select(key.alias("id"), "thread", "sent", "role", parse(F.col("body")).alias("p"))
+    one = F.min(F.struct("thread", "sent", "role", "p.pieces", "p.whole")).alias("m")
+    parsed = materialize(parsed.groupBy("id").agg(one, F.count("*").alias("rows")).select("id", "m.*", "rows"), "messages")
+    found = trees(parsed.select("id"), link(parsed, least_words))
+    texts = rows.select(key.alias("id"), "body")
+    if not parsed.filter("rows > 1").isEmpty():
+        texts = texts.dropDuplicates(["id"])
+    found = found.join(parsed.select("id", "thread", "role"), "id").join(texts, "id")
+    lines = found.withColumn("lines", lines_of(F.col("body")))
+
+    def put_together(own: bool) -> Column:
+        chosen = F.filter("lines", lambda x: x["own"] == F.lit(own))
+        text = F.array_join(F.transform(chosen, lambda x: x["raw"]), "\n")
+        return text if own else F.when(F.size(chosen) > 0, text)
+
+    return lines.select(
+        F.col("root.id").alias("root"),
+        "depth",
+        F.col("id.id").alias("id"),
+        F.col("id.variant").alias("variant"),
+        F.col("parent.id").alias("parent"),
+        "thread",
+        "role",
+        put_together(True).alias("text"),
+        put_together(False).alias("quoted"),
     )
 
 

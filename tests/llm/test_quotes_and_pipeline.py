@@ -1,5 +1,7 @@
 """Quoted messages, the pipeline, and the registered queries."""
 
+import random
+import re
 import sys
 from collections import Counter
 from pathlib import Path
@@ -54,11 +56,73 @@ def test_odd_messages(spark):
     ]
     got = found(spark, rows)
     assert set(got) == {1, 2, 3, 4, 5, 7, 8, 9}
-    assert got[5][3] == "a words to repeat" and got[7][:3] == (4, 1, 4)
+    assert got[7][:3] == (4, 1, 4)
+    every = chat_quotes.conversations(mail(spark, [*rows, rows[4]])).filter("id = 5").collect()
+    assert sorted(r.text for r in every) == ["a words to repeat", "b words to repeat"]
+    assert len({r.variant for r in every}) == 2
     assert all(got[k][:3] == (k, 0, None) for k in (1, 2, 3, 4, 5, 8, 9))
     assert chat_quotes.conversations(mail(spark, rows).limit(0)).count() == 0
 
 
+def test_own_text_is_kept_as_it_stands(spark):
+    first = "Hello there everyone.\n\nOn this topic Kant wrote:\nOne should read\t more. \n\n>>> print(1)\nbye now\n"
+    rows = [
+        (1, 1, 1, first),
+        (2, 1, 2, "Yes.\n\nOn Monday A wrote:\n\n> Hello there everyone.\n> On this topic Kant wrote:\n> One should read more.\n\nFine.\r\nBye."),
+        (3, 1, 3, "> On Monday B wrote:\n>> Hello there everyone.\n> Yes.\nOn Friday C wrote:"),
+    ]
+    out = {r.id: r for r in chat_quotes.conversations(mail(spark, rows)).collect()}
+    assert out[1].text == first.replace(">>> print(1)\n", "") and out[1].quoted == ">>> print(1)"
+    assert out[2].text == "Yes.\n\n\n\nFine.\r\nBye." and out[2].quoted.startswith("On Monday A wrote:\n> Hello")
+    assert out[3].text == "On Friday C wrote:" and out[3].quoted.count("\n") == 2
+    assert (out[2].parent, out[3].parent, out[3].depth) == (1, 2, 2)
+
+
+def plain_links(rows):
+    """Parents by plain loops, for messages that quote whole messages of one level."""
+    def parts(body):
+        levels = [(len(m[0].replace(" ", "")) if (m := re.match(r"(>[ ]*)+", line)) else 0, re.sub(r"^(>[ ]*)+", "", line)) for line in body.split("\n")]
+        return levels
+
+    out = {}
+    for i, thread, sent, body in rows:
+        score = Counter()
+        for level, text in parts(body):
+            normal = " ".join(text.lower().split())
+            if level == 1 and normal:
+                writers = [(s, j) for j, t, s, b in rows if t == thread and any(lv == 0 and " ".join(x.lower().split()) == normal for lv, x in parts(b))]
+                if writers and min(writers) < (sent, i):
+                    score[min(writers)] += len(normal.split())
+        out[i] = min(score, key=lambda w: (-score[w], w))[1] if score else None
+    return out
+
+
+def test_random_mail_against_plain_loops(spark):
+    rng = random.Random(8)
+    rows, words = [], [f"w{k}" for k in range(40)]
+    for i in range(120):
+        thread = rng.randrange(6)
+        own = [" ".join(rng.choice(words) for _ in range(rng.randint(4, 7))) for _ in range(rng.randint(1, 3))]
+        body = [*own[:1], *([""] if rng.random() < 0.4 else []), *own[1:]]
+        before = [r for r in rows if r[1] == thread]
+        if before and rng.random() < 0.8:
+            quoted = rng.choice(before)[3].split("\n")
+            lines = [line for line in quoted if line and not line.startswith(">")][:2]
+            # One quoted line at a time, so that passages are lines.
+            for line in lines:
+                body += [f"> {line.upper()}", f"between {i} {rng.randrange(10**6)} lines"]
+        rows.append((i, thread, i, "\n".join(body)))
+    out = {r.id: r for r in chat_quotes.conversations(mail(spark, rows)).collect()}
+    parents = plain_links(rows)
+    for i, thread, sent, body in rows:
+        assert out[i].text == "\n".join(line for line in body.split("\n") if not line.startswith(">"))
+        assert out[i].parent == parents[i]
+        depth, at = 0, i
+        while parents[at] is not None:
+            depth, at = depth + 1, parents[at]
+        assert (out[i].root, out[i].depth) == (at, depth)
+
+
 def test_short_messages_are_quoted_within_their_thread(spark):
     rows = [
         (1, 1, 1, "Shall we meet on Monday morning?"),

@@ -92,11 +92,18 @@ def write_lookup(
     """Store in key order, so that file statistics lead a read to few row groups.
 
     Ranges are drawn over key and clustering columns, so a key with very many
-    rows spans several files instead of one task.
+    rows spans several files instead of one task. The order serves the first column;
+    for the others each row group has a Bloom filter (or a dictionary, where values
+    are few), so that a read by any of them opens only row groups that may hold it.
     """
     columns = lookup.primary_key
     ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
-    ranged.sortWithinPartitions(*columns).write.mode(mode).parquet(path)
+    writer = ranged.sortWithinPartitions(*columns).write.mode(mode)
+    # As large as a row group's distinct values need, chosen while it is written.
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for name in columns[1:]:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    writer.parquet(path)
 
 
 def read_lookup(

@@ -241,3 +241,41 @@ def test_queries_read_the_tables_as_they_are_now(spark, tmp_path):
 
 def raw_song_files(spark, sf_dir):
     return spark.read.json(write_raw_files(spark, sf_dir).songs).count()
+
+
+def scanned(df):
+    """Rows that the scan of a collected frame gave."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found.append(node.metrics().apply("numOutputRows").value())
+    return sum(found)
+
+
+def test_a_read_by_the_second_key_skips_row_groups(spark, tmp_path):
+    rows = spark.range(20000).select(
+        (F.col("id") % 5000).alias("sessionId"),
+        (F.xxhash64("id") % 1_000_000).alias("userId"),
+        F.col("id").alias("itemInSession"),
+        F.lit("a").alias("artist"),
+        F.col("id").cast("string").alias("song"),
+        F.lit("f").alias("firstName"),
+        F.lit("l").alias("lastName"),
+    )
+    lookup = build_lookup(rows, USER_SESSION)
+    path = str(tmp_path / "lookup")
+    write_lookup(lookup, path, USER_SESSION, files=16)
+    second = USER_SESSION.primary_key[1]
+    stored = spark.read.parquet(path)
+    value = stored.select(second).first()[0]
+    hit = stored.filter(F.col(second) == F.lit(value))
+    assert scanned(hit) <= 20000 // 16 * 4 and hit.count() >= 1
+    low, high = stored.agg(F.min(second), F.max(second)).first()
+    absent = next(v for v in range(low + 1, high) if v % 7 == 3 and not stored.filter(F.col(second) == v).count())
+    assert scanned(stored.filter(F.col(second) == F.lit(absent))) <= 20000 // 16 * 4

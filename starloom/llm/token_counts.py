@@ -16,7 +16,6 @@ the same counts; an empty table gives an empty one; extra columns are kept aside
 from __future__ import annotations
 
 import json
-from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import chain
 
@@ -95,53 +94,89 @@ class Counter:
         return PrefixCounts(self, text)
 
 
-class PrefixCounts:
-    """The number of tokens of every prefix of a text.
+#: Pieces of which every prefix is a piece too, but for a leading space alone, and runs of white space.
+EVEN = regex.compile(r" ?(?:\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+)")
+BLANK = regex.compile(r"\s+")
+
 
-    Cuts and counts at the borders of pieces are stored. A prefix that ends inside
-    a piece shares all pieces but the last few with the whole text; those are cut
-    again and their own tables give the rest.
+class PrefixCounts:
+    """The number of tokens of every prefix of a text, by characters, stored once.
+
+    The prefix that ends inside a piece consists of the pieces before it and a prefix of
+    that piece, whose count is in the piece's own table; so one pass over the tables gives
+    all counts, and any question after that is read off. Patterns of this kind cut a prefix
+    otherwise than the text in few places: white space at the end of a prefix is one piece,
+    whatever follows in the text; a contraction or a special string that is not complete yet
+    is cut into plain pieces. Those have tables or short encodings of their own.
     """
 
+    #: Pieces in front of an incomplete special string that it may be joined with.
     BACK = 3
 
     def __init__(self, counter: Counter, text: str):
         self.counter, self.text = counter, text
-        self.cuts, self.counts = [0], [0]
-        at = 0
+        #: Tokens of ``text[:end]`` at ``end``.
+        self.counts = np.zeros(len(text) + 1, np.int64)
+        self._tables: dict[str, np.ndarray] = {}
         special = counter.special
-        ends = [m.span() for m in special.finditer(text)] if special is not None else []
-        for begin, end in [*ends, (len(text), len(text))]:
-            stretch = text[at:begin]
-            pieces = counter.pieces.findall(stretch)
-            counter.cache.learn(pieces)
-            for piece in pieces:
-                self.cuts.append(self.cuts[-1] + len(piece))
-                self.counts.append(self.counts[-1] + counter.cache[piece])
-            if end > begin:
-                self.cuts.append(end)
-                self.counts.append(self.counts[-1] + 1)
-            at = end
+        begin, cuts = 0, [0]
+        for found in special.finditer(text) if special is not None else ():
+            cuts = self._stretch(begin, found.start(), cuts)
+            known = cuts[max(0, len(cuts) - 1 - self.BACK)]
+            for end in range(found.start() + 1, found.end()):
+                self.counts[end] = self.counts[known] + counter.count_all([text[known:end]])[0]
+            begin = found.end()
+            self.counts[begin] = self.counts[found.start()] + 1
+            cuts = [begin]
+        self._stretch(begin, len(text), cuts)
+
+    def _table(self, piece: str) -> np.ndarray:
+        """Tokens of each prefix of a piece, by characters, the empty one first."""
+        if piece not in self._tables:
+            merges = self.counter.merges
+            data = piece.encode()
+            counts = np.array(merges.prefix_counts(merges.table(data)), np.int64)
+            if len(data) != len(piece):
+                starts = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
+                counts = counts[np.append(np.flatnonzero(starts), len(data))]
+            self._tables[piece] = counts
+        return self._tables[piece]
+
+    def _stretch(self, begin: int, end: int, cuts: list[int]) -> list[int]:
+        """Fill in the counts of a stretch without special strings; gives where its pieces end."""
+        counts, text = self.counts, self.text
+        pieces_before, run, before_run = counts[begin], None, 0
+        for found in self.counter.pieces.finditer(text, begin, end):
+            start, stop, piece = found.start(), found.end(), found.group()
+            if BLANK.fullmatch(piece):
+                if run is None:
+                    run, before_run = start, pieces_before
+                # The run goes on with the space that the next piece begins with.
+                blank = stop + (stop < end and text[stop] == " ")
+                counts[start + 1 : blank + 1] = before_run + self._table(text[run:blank])[start + 1 - run :]
+            else:
+                first = 2 if run is not None and piece[0] == " " else 1
+                if EVEN.fullmatch(piece):
+                    counts[start + first : stop + 1] = pieces_before + self._table(piece)[first:]
+                else:
+                    for at in range(start + first, stop):
+                        counts[at] = pieces_before + self.counter.count_all([text[start:at]])[0]
+                    counts[stop] = pieces_before + self._table(piece)[-1]
+                run = None
+            pieces_before += self._table(piece)[-1]
+            cuts.append(stop)
+        return cuts
 
     def total(self) -> int:
-        return self.counts[-1]
+        return int(self.counts[-1])
 
     def count(self, end: int) -> int:
         """Tokens of ``text[:end]``."""
-        known = max(0, bisect_right(self.cuts, end) - 1 - self.BACK)
-        return self.counts[known] + self.counter.count_all([self.text[self.cuts[known] : end]])[0]
+        return int(self.counts[end])
 
     def longest_within(self, budget: int) -> int:
         """Characters of the longest prefix of at most ``budget`` tokens."""
-        if self.total() <= budget:
-            return len(self.text)
-        # Whole pieces that fit, then as much of the next few as does.
-        whole = bisect_right(self.counts, budget) - 1
-        last = self.cuts[min(len(self.cuts) - 1, whole + self.BACK)]
-        for end in range(last, self.cuts[whole], -1):
-            if self.count(end) <= budget:
-                return end
-        return self.cuts[whole]
+        return int(np.flatnonzero(self.counts <= budget)[-1]) if budget >= 0 else 0
 
 
 def count_tokens(

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 from collections import Counter
 
 import public_tokenizers
@@ -144,6 +145,28 @@ def test_longest_prefix_within_a_budget(counter, library):
         assert counter.prefixes(text).longest_within(budget) == best
 
 
+def test_prefixes_of_white_space_and_contractions(counter, library):
+    rng = random.Random(12)
+    some = ["a \n b", "a\n  b's 're", "\n \n  \t x", "it'll  've'd", "!!<|endoftext|> <|endoftext|>  y", " ", ""]
+    some += ["".join(rng.choice([" ", "\n", "\t", "a", "'", "s", "l", "!", "1", "é", "\x1c", "\xa0"]) for _ in range(14)) for _ in range(150)]
+    for text in some:
+        prefixes = counter.prefixes(text)
+        assert [prefixes.count(end) for end in range(len(text) + 1)] == [library(text[:end]) for end in range(len(text) + 1)]
+
+
+def test_long_unbroken_texts_are_cut_in_time(counter, library):
+    rng = random.Random(13)
+    unbroken = "".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))
+    begun = time.process_time()
+    end = counter.prefixes(unbroken).longest_within(300)
+    assert time.process_time() - begun < 30
+    assert library(unbroken[:end]) <= 300 < library(unbroken[: end + 1])
+    for run in (" " * 200_000 + "x", "\n" * 100_000 + " y"):
+        prefixes = counter.prefixes(run)
+        for at in (1, 1000, len(run) - 1, len(run)):
+            assert prefixes.count(at) == library(run[:at])
+
+
 def test_truncate(messy, library):
     merges, special = token_counts.load_json(public_tokenizers.path("byte_bpe_50k.json"))
     cut = token_counts.truncate(messy, merges, special, public_tokenizers.PATTERN, 20)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import dense_key, hash_key, monotonic_key, start_time
 from starloom.operators import dims
+from starloom.operators.colocated import forget, write_colocated
 from starloom.operators.match import (
     ARTIST,
     LENGTH,
@@ -19,6 +20,7 @@ from starloom.operators.match import (
     match,
 )
 from starloom.operators.star import Dimension, star_join
+from starloom.storage import new_path
 from starloom.workloads.registry import query
 from starloom.workloads.standin import (
     BOTH_SQL,
@@ -263,6 +265,40 @@ def star_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.drop("l_partkey", "l_suppkey")
 
 
+@query(
+    """
+SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_extendedprice AS price,
+       o_orderstatus AS order_status, o_orderdate AS order_date, s_name AS supplier_name
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey"""
+)
+def star_retrieval_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and orders from catalog tables in buckets of the order; they meet without a shuffle."""
+    fact = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_extendedprice").alias("price"),
+        "l_suppkey",
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderstatus").alias("order_status"), F.col("o_orderdate").alias("order_date")
+    )
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("supplier_name"))
+    root = new_path(spark, "colocated")
+    names = [f"{name}_{root.rsplit('-', 1)[1]}" for name in ("lines", "orders")]
+    stored = [
+        write_colocated(df, name, key, 16, f"{root}/{name}")
+        for df, name, key in zip((fact, orders), names, ("order_id", "o_orderkey"))
+    ]
+    # By size alone Spark would copy the orders of the small test tables to every executor.
+    dimensions = [
+        Dimension(stored[1].hint("merge"), {"order_id": "o_orderkey"}),
+        Dimension(suppliers, {"l_suppkey": "s_suppkey"}),
+    ]
+    joined = star_join(stored[0], dimensions).drop("l_suppkey")
+    forget(spark, *names)
+    return joined
+
+
 @query(
     f"""
 WITH {BOTH_SQL},

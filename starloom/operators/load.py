@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import monotonic_key
+from starloom.operators.quality import Watch
 
 
 # Rows that compress well fill small files; reading them back is work per row.
@@ -21,6 +22,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     only_touched_partitions: bool = False,
     number: str | None = None,
+    watch: Watch | None = None,
 ) -> None:
     """Write Parquet files of a sensible size.
 
@@ -36,6 +38,8 @@ def write_table(
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
     if number:
         df = df.select(monotonic_key().alias(number), "*")
+    if watch:
+        df = watch.on(df)
     writer = df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

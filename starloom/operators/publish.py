@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.operators.load import write_table
+from starloom.operators.quality import Watch
 from starloom.storage import children, create_new, read_text, remove
 
 LOG = "_published"
@@ -90,15 +91,16 @@ def write_version(
     partition_by: Sequence[str] = (),
     number: str | None = None,
     order_by: Sequence[str] = (),
+    watch: Watch | None = None,
 ) -> DataFrame:
     """Store rows under a version that nobody reads yet; gives the stored rows.
 
-    With ``order_by`` each file holds a range of these columns.
+    With ``order_by`` each file holds a range of these columns; ``watch`` counts the rows.
     """
     if order_by:
         df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     path = f"{root}/{table}/{VERSION}={version}"
-    write_table(df, path, "overwrite", partition_by, number=number)
+    write_table(df, path, "overwrite", partition_by, number=number, watch=watch)
     schema = df.schema
     if number:
         schema = StructType([StructField(number, LongType()), *schema.fields])

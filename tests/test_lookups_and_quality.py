@@ -1,8 +1,11 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from starloom import schemas, workloads
+from starloom import plans, schemas, workloads
 from starloom.operators import quality
+from starloom.operators.load import write_table
 from starloom.operators.lookup import (
     LOOKUP_TABLES,
     SESSION_ITEM,
@@ -279,3 +282,23 @@ def test_a_read_by_the_second_key_skips_row_groups(spark, tmp_path):
     low, high = stored.agg(F.min(second), F.max(second)).first()
     absent = next(v for v in range(low + 1, high) if v % 7 == 3 and not stored.filter(F.col(second) == v).count())
     assert scanned(stored.filter(F.col(second) == F.lit(absent))) <= 20000 // 16 * 4
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    made = schemas.Table("t", schemas.columns(id=schemas.LONG, a=schemas.TEXT, b=schemas.TEXT), ("id",), required=("id", "a", "gone"), longest={"b": 3})
+    rows = spark.range(1000).select(
+        "id", F.when(F.col("id") % 10 != 0, "x").alias("a"), F.when(F.col("id") < 7, "long text").otherwise("ok").alias("b")
+    )
+    for name, df, parts in (("flat", rows, ()), ("parts", rows.repartition(6), ("b",)), ("none", rows.limit(0), ())):
+        watch = quality.Watch(made)
+        write_table(df, str(tmp_path / name), partition_by=parts, watch=watch)
+        many = 0 if name == "none" else 1000
+        assert watch.rows == many
+        assert watch.failures() == (["t: not_null a (100)", "t: length b (7)"] if many else [])
+
+
+def test_a_checked_load_reads_no_row_twice_for_nulls(spark, tmp_path, raw_files):
+    with pytest.raises(quality.QualityError) as raised:
+        plans.run(spark, raw_files, str(tmp_path / "star"), replace(plans.LAKE, enforce=True, check=True))
+    assert "songs: not_null year (1)" in str(raised.value)
+    assert not (tmp_path / "star" / "_published").exists()

@@ -34,14 +34,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.byte_bpe import MOST_VOCABULARY_BYTES, Merges, Shared, worker_copy
+from starloom.llm.byte_bpe import MOST_VOCABULARY_BYTES, Encoder, Merges, Shared, worker_copy
 from starloom.llm.tables import only, positional, text_slices, without
-from starloom.llm.word_bpe import Pieces, WordEncoder, WordMerges
 from starloom.storage import materialize
 
 #: Distinct pairs of documents that a block holds before it is closed.
@@ -50,6 +50,9 @@ BLOCK_PAIRS = 1 << 20
 #: Links of an irregular group that are written out one by one; larger ones go by distinct ids.
 PLAIN_LINKS = 64
 
+#: Characters above which a text is not given to the library.
+LONG_CHARS = 1 << 16
+
 #: Ends of a stretch that are compared before slices are.
 NEAR = 16
 
@@ -57,18 +60,28 @@ SPACE = "▁"
 
 
 class ByteTokens:
-    """Byte-level tokens of a prefix and the text; strings of special tokens are plain text."""
+    """Byte-level tokens of a prefix and the text; strings of special tokens are plain text.
+
+    The library for ranks encodes: with merges numbered in their order it gives what the
+    merges give, as each token is also the encoding of its own bytes. Its pattern engine
+    cannot take white space of millions of characters, so long texts go to our own encoder.
+    """
 
     def __init__(self, merges: Merges, pattern: str, prefix: str):
         self.prefix = prefix
         self.bytes_of = [merges.by_id.get(i, b"") for i in range(max(merges.ids) + 1)]
-        # Without word ends, a byte is the same symbol wherever it stands. Merges go in token order.
-        ids, plain = merges.ids, merges.ids[:256]
-        pairs = [(ids[left], ids[right], ids[made]) for made, (left, right) in enumerate(merges.splits) if made >= 256]
-        self.encoder = WordEncoder(WordMerges({}, plain, plain, pairs), Pieces(pattern))
+        ranks = {token: rank for rank, token in enumerate(merges.tokens)}
+        self.coder = tiktoken.Encoding("merges", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.ids = np.array(merges.ids, np.int32)
+        self.patient = Encoder(merges, pattern)
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        return self.encoder.encode_all([self.prefix + text for text in texts])
+        whole = [self.prefix + text for text in texts]
+        encode = self.coder.encode_ordinary
+        return [
+            self.patient.encode(text) if len(text) > LONG_CHARS else self.ids[np.array(encode(text), np.int64)]
+            for text in whole
+        ]
 
 
 class PieceTokens:

@@ -144,6 +144,22 @@ def test_vocabulary_map(spark, parts, plain):
     assert {tuple(r) for r in got.collect()} == {(x, y, n, n == most[x]) for (x, y), n in count.items()}
 
 
+def test_every_token_is_the_encoding_of_its_bytes(parts):
+    # What makes ranks and merges agree: each token is found again from its own bytes.
+    merges, _, _ = parts
+    for rank, token in enumerate(merges.tokens):
+        assert merges.walk(merges.table(token), len(token)) == [rank]
+
+
+def test_long_texts_go_to_our_own_encoder(parts, monkeypatch):
+    merges, pattern, _ = parts
+    coder, text = token_align.ByteTokens(merges, pattern, " "), "plain words, and more 12 of them \n  " * 300
+    whole = coder.encode_all([text])[0].tolist()
+    monkeypatch.setattr(token_align, "LONG_CHARS", 100)
+    assert coder.encode_all([text])[0].tolist() == whole
+    assert len(coder.encode_all([" " * 2_000_000 + "x"])[0]) >= 1
+
+
 @given(st.lists(st.integers(1, 4), max_size=60), st.data())
 def test_cuts_of_any_ends(sizes, data):
     ends = np.cumsum(sizes, dtype=np.int64)

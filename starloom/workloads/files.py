@@ -59,13 +59,15 @@ def scan_json_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT count(DISTINCT event_type) AS files, count(*) AS rows FROM events"""
+SELECT (SELECT count(*) FROM (SELECT DISTINCT event_type, event_id // 20000 FROM events)) AS files,
+       count(*) AS rows FROM events"""
 )
 def scan_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file for each type of event, each written by the one task that has all of its rows."""
+    """One file for each type of event and 20,000 event numbers, written by the one task that has all of its rows."""
     root = new_path(spark, "json-count")
-    events = _events(spark, sf_dir).withColumn("kind", F.col("event_type"))
-    events.repartition(5, "kind").write.partitionBy("kind").json(root)
+    part = F.floor(F.col("event_id") / 20000)
+    events = _events(spark, sf_dir).withColumns({"kind": F.col("event_type"), "part": part})
+    events.repartition("kind", "part").write.partitionBy("kind", "part").json(root)
     return file_count(scan_json(spark, root, EVENT, corrupt_column=None))
 
 

@@ -34,6 +34,37 @@ def hash_key(*parts: Column) -> Column:
     return F.md5(F.concat(*[part.cast("string") for part in parts]))
 
 
+def in_number_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` sorted over all its partitions, ready to be numbered by the job that writes it.
+
+    Rows that tie, however many, may fall into several partitions.
+    """
+    if not order:
+        return df
+    parted = df.withColumn("_origin", F.spark_partition_id())
+    return parted.repartitionByRange(*order, "_origin").sortWithinPartitions(*order, "_origin").drop("_origin")
+
+
+def range_of(mark: str) -> Column:
+    """The partition that a row was written by, from its :func:`monotonic_key`."""
+    return F.shiftright(mark, ROW_BITS)
+
+
+def place_in_range(mark: str) -> Column:
+    return F.col(mark).bitwiseAND(F.lit(ROW_MASK))
+
+
+def range_starts(stored: DataFrame, mark: str, start: int = 1) -> DataFrame:
+    """For each range of stored rows its first number, if all are numbered from ``start`` on, and its rows.
+
+    One row per partition that wrote: ``_range``, ``_first``, ``_rows``.
+    """
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stored.groupBy(range_of(mark).alias("_range")).agg(F.count(F.lit(1)).alias("_rows"))
+    first = F.coalesce(F.sum("_rows").over(before), F.lit(0)) + F.lit(start)
+    return counts.select("_range", first.alias("_first"), "_rows")
+
+
 def dense_key(
     df: DataFrame, order: Sequence[str] = (), name: str = "songplay_id", start: int = 1
 ) -> DataFrame:
@@ -41,26 +72,15 @@ def dense_key(
 
     Rows are range-partitioned on ``order`` and stored with their partition and
     position. The counts per partition then turn positions into numbers, so no
-    task sees more than one range. The offsets have one row per partition of the
+    task sees more than one range. The starts have one row per partition of the
     stored table, which bounds the side that is broadcast. Without an order rows
-    are stored as they come, and nothing is shuffled.
+    are stored as they come, and nothing is shuffled. A table that is written anyway
+    can keep the marks and be numbered when it is read: see ``publish.write_numbered``.
     """
     columns = df.columns
-    if order:
-        # Rows that tie, however many, may fall into several ranges.
-        parted = df.withColumn("_origin", F.spark_partition_id())
-        ranged = parted.repartitionByRange(*order, "_origin")
-        df = ranged.sortWithinPartitions(*order, "_origin").drop("_origin")
-    stored = materialize(df.withColumn("_mark", F.monotonically_increasing_id()), "dense-key")
-    stored = stored.withColumn("_range", F.shiftright("_mark", ROW_BITS))
-
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        stored.groupBy("_range")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    position = F.col("_mark").bitwiseAND(F.lit(ROW_MASK))
-    return stored.join(F.broadcast(offsets), "_range").select(
-        (position + F.col("_offset") + F.lit(start)).alias(name), *columns
+    marked = in_number_order(df, order).withColumn("_mark", monotonic_key())
+    stored = materialize(marked, "dense-key")
+    starts = range_starts(stored, "_mark", start)
+    return stored.withColumn("_range", range_of("_mark")).join(F.broadcast(starts), "_range").select(
+        (place_in_range("_mark") + F.col("_first")).alias(name), *columns
     )

@@ -18,11 +18,13 @@ import json
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from starloom.functions.keys import place_in_range, range_of, range_starts
 from starloom.operators.load import write_table
 from starloom.operators.quality import Watch
 from starloom.storage import children, create_new, read_text, remove
@@ -31,6 +33,7 @@ LOG = "_published"
 ENTRY = re.compile(r"(\d{20})\.json")
 VERSION = "version"
 STAGING = "_staging"
+NUMBERS = "_numbers"
 
 
 @dataclass(frozen=True)
@@ -38,13 +41,16 @@ class Published:
     """What readers see of a table: its versions, oldest first, and its columns.
 
     ``sequence`` is the log entry that changed it last. Files in ``dropped`` have been
-    replaced by those of a later version.
+    replaced by those of a later version. Versions in ``marked`` hold marks in the column
+    ``number`` (see :func:`write_numbered`).
     """
 
     versions: tuple[str, ...]
     schema: StructType
     sequence: int
     dropped: tuple[str, ...] = ()
+    marked: tuple[str, ...] = ()
+    number: str | None = None
 
 
 class Conflict(RuntimeError):
@@ -58,7 +64,14 @@ def _latest(spark: SparkSession, root: str) -> tuple[int, dict[str, Published]]:
         return 0, {}
     state = json.loads(read_text(spark, f"{root}/{LOG}/{entries[-1]}"))
     found = {
-        table: Published(tuple(e["versions"]), StructType.fromJson(e["columns"]), e["sequence"], tuple(e["dropped"]))
+        table: Published(
+            tuple(e["versions"]),
+            StructType.fromJson(e["columns"]),
+            e["sequence"],
+            tuple(e["dropped"]),
+            tuple(e["marked"]),
+            e["number"],
+        )
         for table, e in state.items()
     }
     return int(entries[-1].partition(".")[0]), found
@@ -72,6 +85,8 @@ def _append(spark: SparkSession, root: str, number: int, state: Mapping[str, Pub
             "columns": each.schema.jsonValue(),
             "sequence": each.sequence,
             "dropped": each.dropped,
+            "marked": each.marked,
+            "number": each.number,
         }
         for table, each in state.items()
     }
@@ -107,6 +122,30 @@ def write_version(
     return read_versions(df.sparkSession, root, table, [version], schema)
 
 
+def write_numbered(
+    df: DataFrame, root: str, table: str, version: str, number: str, start: int, watch: Watch | None = None
+) -> DataFrame:
+    """Store rows that are to be numbered ``start``, ``start + 1``, ... in their order; gives them numbered.
+
+    They are written once, with a mark of their task and place. A small table beside the
+    version has the first number of each task's rows (one row per task), and readers add the
+    two. Publish the version as ``marked``.
+    """
+    marks = write_version(df, root, table, version, number=number, watch=watch)
+    range_starts(marks, number, start).coalesce(1).write.mode("overwrite").parquet(_numbers(root, table, version))
+    return read_versions(df.sparkSession, root, table, [version], marks.schema, [version], number)
+
+
+def last_number(spark: SparkSession, root: str, table: str, version: str) -> int | None:
+    """The largest number of a marked version, from its small table; None if it has no rows."""
+    starts = spark.read.parquet(_numbers(root, table, version))
+    return starts.agg(F.max(F.col("_first") + F.col("_rows") - 1)).first()[0]
+
+
+def _numbers(root: str, table: str, version: str) -> str:
+    return f"{root}/{NUMBERS}/{table}/{VERSION}={version}"
+
+
 def publish(
     spark: SparkSession,
     root: str,
@@ -115,6 +154,7 @@ def publish(
     schemas: Mapping[str, StructType],
     based_on: Mapping[str, int] | None = None,
     dropped: Mapping[str, Sequence[str]] | None = None,
+    marked: Mapping[str, str] | None = None,
 ) -> int:
     """Make ``version`` current for the given tables; gives the number of the log entry.
 
@@ -122,7 +162,8 @@ def publish(
     on) or ``append`` (this version joins those already published, less the files
     that it replaces, ``dropped``). ``based_on`` maps tables whose earlier rows went
     into the load to the ``sequence`` they had (0 for none): if one has another by
-    now, :class:`Conflict` is raised.
+    now, :class:`Conflict` is raised. ``marked`` maps tables written by
+    :func:`write_numbered` to the column of the number.
     """
     for table, mode in modes.items():
         if mode not in ("overwrite", "append"):
@@ -135,10 +176,14 @@ def publish(
         state = dict(now)
         for table, mode in modes.items():
             versions, gone = (version,), ()
+            number_col = (marked or {}).get(table)
+            marks = (version,) if number_col else ()
             if mode == "append" and table in now:
                 versions = (*[v for v in now[table].versions if v != version], version)
                 gone = (*now[table].dropped, *(dropped or {}).get(table, ()))
-            state[table] = Published(versions, schemas[table], number + 1, gone)
+                marks = (*[v for v in now[table].marked if v != version], *marks)
+                number_col = number_col or now[table].number
+            state[table] = Published(versions, schemas[table], number + 1, gone, marks, number_col)
         # Whoever is second reads the other's entry and tries the next number.
         if _append(spark, root, number + 1, state):
             return number + 1
@@ -186,6 +231,9 @@ def vacuum(spark: SparkSession, root: str) -> list[str]:
         if each.dropped:
             held = [f"{table}/{of}/{name}" for of in kept for name in children(spark, f"{root}/{table}/{of}")]
             gone += [path for path in held if path.rpartition("/")[2] in each.dropped]
+        starts = f"{NUMBERS}/{table}"
+        read = {f"{VERSION}={version}" for version in each.marked}
+        gone += [f"{starts}/{name}" for name in children(spark, f"{root}/{starts}") if name not in read]
     gone += [f"{STAGING}/{name}" for name in children(spark, f"{root}/{STAGING}")]
     gone += [f"{LOG}/{name}" for name in children(spark, f"{root}/{LOG}") if name != f"{number:020d}.json"]
     for path in gone:
@@ -194,17 +242,34 @@ def vacuum(spark: SparkSession, root: str) -> list[str]:
 
 
 def read_versions(
-    spark: SparkSession, root: str, table: str, versions: Sequence[str], schema: StructType
+    spark: SparkSession,
+    root: str,
+    table: str,
+    versions: Sequence[str],
+    schema: StructType,
+    marked: Sequence[str] = (),
+    number: str | None = None,
 ) -> DataFrame:
     """Rows of the named versions; only their directories are listed."""
-    reader = spark.read.schema(schema).option("basePath", f"{root}/{table}")
-    stored = reader.parquet(*[f"{root}/{table}/{VERSION}={v}" for v in versions])
-    return stored.select(*schema.names)
+
+    def read(some: Sequence[str]) -> DataFrame:
+        reader = spark.read.schema(schema).option("basePath", f"{root}/{table}")
+        stored = reader.parquet(*[f"{root}/{table}/{VERSION}={v}" for v in some])
+        return stored.select(*schema.names)
+
+    parts = [read(plain)] if (plain := [v for v in versions if v not in marked]) else []
+    for version in [v for v in versions if v in marked]:
+        # One row per task that wrote the version.
+        starts = spark.read.parquet(_numbers(root, table, version)).drop("_rows")
+        rows = read([version]).withColumn("_range", range_of(number)).join(F.broadcast(starts), "_range")
+        value = (place_in_range(number) + F.col("_first")).alias(number)
+        parts.append(rows.select(*[value if name == number else F.col(name) for name in schema.names]))
+    return reduce(DataFrame.union, parts)
 
 
 def read_state(spark: SparkSession, root: str, table: str, state: Published) -> DataFrame:
     """The rows of a published state, without those of replaced files."""
-    rows = read_versions(spark, root, table, state.versions, state.schema)
+    rows = read_versions(spark, root, table, state.versions, state.schema, state.marked, state.number)
     return in_files(rows, state.dropped, inside=False) if state.dropped else rows
 
 

@@ -168,10 +168,19 @@ def _build(
     first_id = 1
     if profile.play_key == "dense" and "songplays" in published:
         first_id = 1 + _last_id(spark, output, published["songplays"])
+    marked: dict[str, str] = {}
     if profile.play_key == "monotonic":
         unnumbered = replace(profile, play_key="none")
         songplays = build_songplays(events, raw_songs, catalogue, unnumbered)
         write("songplays", songplays, number="songplay_id")
+    elif profile.play_key == "dense" and not profile.partition_by.get("songplays"):
+        # Written once; the numbers follow from where rows stand when they are read.
+        ranged = build_songplays(events, raw_songs, catalogue, replace(profile, play_key="ranged"))
+        watch = watches["songplays"] = quality.Watch(REGISTRY["songplays"])
+        numbered = (output, "songplays", version, "songplay_id", first_id, watch)
+        stored["songplays"] = publish.write_numbered(ranged, *numbered)
+        mode = profile.load_modes.get("songplays", "overwrite")
+        modes["songplays"], marked["songplays"] = "append" if mode == "append" else "overwrite", "songplay_id"
     else:
         write("songplays", build_songplays(events, raw_songs, catalogue, profile, first_id))
     _together(
@@ -199,13 +208,18 @@ def _build(
     if profile.match_against == "dimensions":
         built_on |= {name for name in catalogue if modes[name] == "append"}
     based_on = {name: published[name].sequence if name in published else 0 for name in built_on}
-    publish.publish(spark, output, version, modes, columns, based_on, replaced)
+    publish.publish(spark, output, version, modes, columns, based_on, replaced, marked)
 
 
 def _last_id(spark: SparkSession, output: str, plays: publish.Published) -> int:
     """The largest key given so far. Keys grow from version to version, so the
     last version with any rows has it."""
     for version in reversed(plays.versions):
+        if version in plays.marked:
+            largest = publish.last_number(spark, output, "songplays", version)
+            if largest is not None:
+                return largest
+            continue
         rows = publish.read_versions(spark, output, "songplays", [version], plays.schema)
         largest = rows.agg(F.max("songplay_id")).first()[0]
         if largest is not None:

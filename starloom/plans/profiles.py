@@ -29,7 +29,7 @@ class Profile:
 
     # Fact
     whole_seconds: bool = False
-    play_key: str = "dense"  # dense, monotonic, hash, or none: left to the writer
+    play_key: str = "dense"  # dense, monotonic, hash, or left to the writer: ranged (in order), none
     numbered_in_order: bool = True  # dense keys follow the event time
     dedup_fact: bool = False
     calendar_columns: tuple[str, ...] = ()  # of the fact, for its partitions

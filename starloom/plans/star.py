@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.keys import dense_key, hash_key, monotonic_key
+from starloom.functions.keys import dense_key, hash_key, in_number_order, monotonic_key
 from starloom.functions.timeparts import start_time, time_parts
 from starloom.operators import dims
 from starloom.operators.match import distinct_matches, join_catalogue, match
@@ -124,6 +124,8 @@ def build_songplays(
         keyed = fact.select(monotonic_key().alias("songplay_id"), "*")
     elif profile.play_key == "none":
         keyed = fact
+    elif profile.play_key == "ranged":
+        keyed = in_number_order(fact, PLAY_ORDER if profile.numbered_in_order else ())
     elif profile.play_key == "hash":
         key = hash_key(F.col("session_id"), F.col("start_time"))
         keyed = fact.select(key.alias("songplay_id"), "*")

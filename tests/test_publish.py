@@ -8,8 +8,11 @@ from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom import plans, schemas
+from starloom.functions import keys
+from starloom.functions.keys import in_number_order
 from starloom.operators import publish
 from starloom.operators.upsert import merge_upsert
 from starloom.storage import children, create_new, read_text
@@ -111,3 +114,35 @@ def test_a_merge_writes_the_files_it_touches(spark, tmp_path):
     publish.compact(spark, root, "users", "whole")
     assert publish.current(spark, root)["users"].dropped == ()
     assert rows_of(publish.read_published(spark, root, "users")) == want
+
+
+def test_numbers_are_given_when_rows_are_read(spark, tmp_path):
+    root, start = str(tmp_path / "t"), 1
+    for version, n in (("one", 700), ("none", 0), ("two", 300)):
+        rows = spark.range(n).select(F.xxhash64("id").alias("at")).repartition(7)
+        ranged = in_number_order(rows, ["at"])
+        stored = publish.write_numbered(ranged, root, "fact", version, "number", start)
+        assert [r.number for r in stored.orderBy("at").collect()] == list(range(start, start + n))
+        assert publish.last_number(spark, root, "fact", version) == (start + n - 1 if n else None)
+        schema = StructType([StructField("number", LongType()), *rows.schema.fields])
+        publish.publish(spark, root, version, {"fact": "append"}, {"fact": schema}, marked={"fact": "number"})
+        start += n
+    assert sorted(r.number for r in publish.read_published(spark, root, "fact").collect()) == list(range(1, 1001))
+    before = rows_of(publish.read_published(spark, root, "fact"))
+    publish.compact(spark, root, "fact", "whole")
+    assert publish.current(spark, root)["fact"].marked == ()
+    gone = publish.vacuum(spark, root)
+    assert {f"_numbers/fact/version={v}" for v in ("one", "none", "two")} <= set(gone)
+    assert rows_of(publish.read_published(spark, root, "fact")) == before
+
+
+def test_a_dense_load_writes_the_fact_once(spark, tmp_path, raw_files, monkeypatch):
+    stored = []
+    monkeypatch.setattr(keys, "materialize", lambda df, label: stored.append(label))
+    output = str(tmp_path / "star")
+    for n in (1, 2):
+        plans.run(spark, raw_files, output, plans.UPSERT)
+        fact = plans.read_table(spark, output, "songplays").orderBy("songplay_id").collect()
+        assert [r.songplay_id for r in fact] == list(range(1, 5 * n + 1))
+        assert [r.start_time for r in fact[-5:]] == sorted(r.start_time for r in fact[-5:])
+    assert stored == [] and len(publish.current(spark, output)["songplays"].marked) == 2

@@ -61,13 +61,18 @@ def load_dim(df: DataFrame, path: str, truncate: bool, partition_by: Sequence[st
     write_table(df, path, "overwrite" if truncate else "append", partition_by)
 
 
-def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_quoted_csv(
+    df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none"
+) -> None:
     """CSV with a header per file, every field quoted, a quote written twice.
 
-    A NULL and an empty text both read back as NULL.
+    A NULL and an empty text both read back as NULL. A compressed file is read by
+    one task, so no file gets more than ``ROWS_PER_FILE`` rows.
     """
     (
         df.write.mode(mode)
+        .option("compression", compression)
+        .option("maxRecordsPerFile", 0 if compression == "none" else ROWS_PER_FILE)
         .option("header", "true")
         .option("quoteAll", "true")
         .option("quote", '"')

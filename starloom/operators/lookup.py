@@ -86,6 +86,17 @@ def build_lookup(staged: DataFrame, lookup: Lookup, order: Sequence[str] = ()) -
     return last_by_key(rows, lookup.primary_key, order).select(*lookup.columns)
 
 
+def store_lookup(staged: DataFrame, path: str, lookup: Lookup, order: Sequence[str] = ()) -> None:
+    """:func:`build_lookup` and :func:`write_lookup` with one shuffle: staged rows go to their key's range.
+
+    Rows of one primary key meet in one task, which sorts them on disk if they are many.
+    """
+    names = dict.fromkeys([*lookup.columns.values(), *[name for name in order if name not in lookup.columns]])
+    rows = with_keys(staged.select(*names), *[lookup.columns[name] for name in lookup.primary_key])
+    ranged = rows.repartitionByRange(*[lookup.columns[name] for name in lookup.primary_key])
+    _write(build_lookup(ranged, lookup, order), path, lookup, "overwrite")
+
+
 def write_lookup(
     df: DataFrame, path: str, lookup: Lookup, files: int | None = None, mode: str = "overwrite"
 ) -> None:
@@ -98,6 +109,11 @@ def write_lookup(
     """
     columns = lookup.primary_key
     ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
+    _write(ranged, path, lookup, mode)
+
+
+def _write(ranged: DataFrame, path: str, lookup: Lookup, mode: str) -> None:
+    columns = lookup.primary_key
     writer = ranged.sortWithinPartitions(*columns).write.mode(mode)
     # As large as a row group's distinct values need, chosen while it is written.
     writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")

@@ -161,10 +161,10 @@ def listens(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "c_mktsegment", F.col("c_nationkey").cast("string").alias("gender")
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(users, F.col("o_custkey") == F.col("c_custkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+    # Names meet the orders first: there are fewer of them than lines.
+    named = orders.join(users, F.col("o_custkey") == F.col("c_custkey"))
+    joined = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
+        named, F.col("l_orderkey") == F.col("o_orderkey")
     )
     return joined.select(
         F.col("p_brand").alias("artist"),

@@ -13,6 +13,7 @@ from starloom.operators.lookup import (
     USER_SESSION,
     build_lookup,
     read_lookup,
+    store_lookup,
     write_lookup,
 )
 from starloom.operators.match import TITLE, match
@@ -302,3 +303,21 @@ def test_a_checked_load_reads_no_row_twice_for_nulls(spark, tmp_path, raw_files)
         plans.run(spark, raw_files, str(tmp_path / "star"), replace(plans.LAKE, enforce=True, check=True))
     assert "songs: not_null year (1)" in str(raised.value)
     assert not (tmp_path / "star" / "_published").exists()
+
+
+def test_lookup_stored_with_one_shuffle(spark, tmp_path, listens):
+    """Also where rows repeat, lack a key or come in another order."""
+    staged = listens.union(listens).union(listens.withColumn("sessionId", F.lit(None).cast("int")))
+    for lookup in LOOKUP_TABLES:
+        path = str(tmp_path / f"one-{lookup.name}")
+        store_lookup(staged, path, lookup, ["length", "session_id"][: 1 + ("session_id" in lookup.columns)])
+        expected = build_lookup(staged, lookup, ["length", "session_id"][: 1 + ("session_id" in lookup.columns)])
+        assert rows_of(spark.read.parquet(path)) == rows_of(expected)
+    ranged = staged.filter("sessionId IS NOT NULL").repartitionByRange("sessionId", "itemInSession")
+    assert plan_of(build_lookup(ranged, SESSION_ITEM), "simple").count("Exchange") == 1
+
+
+def test_staged_listens_can_be_compressed(spark, tmp_path, listens):
+    again = stage_listens(spark, str(tmp_path / "in"), str(tmp_path / "packed"), compression="lz4")
+    assert list((tmp_path / "packed").glob("*.csv.lz4")) and not list((tmp_path / "packed").glob("*.csv"))
+    assert rows_of(again) == rows_of(listens)

@@ -258,7 +258,9 @@ class IncrementalStar:
         # Repeated raw rows are gone by now; plays without a song are kept for later ones.
         profile = replace(self.profile, match_how="left", dedup_raw=False, dedup_fact=False)
         keep = [*self._keys, OF_BATCH, PLAY_ROW]
-        plays = build_songplays(marked, songs, known, profile, keep=keep)
+        # Each batch meets the whole catalogue: a broadcast would bring all of it to the driver each time.
+        known = {name: table.hint("merge") for name, table in known.items()}
+        plays = build_songplays(marked, songs.hint("merge"), known, profile, keep=keep)
         found = F.col("song_id").isNotNull() | F.col("artist_id").isNotNull()
         return plays.withColumn(MATCHED, found)
 

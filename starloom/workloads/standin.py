@@ -105,7 +105,8 @@ def raw_events(spark: SparkSession, sf_dir: str, sides: tuple[str, ...] = SIDES)
         events = events.join(song, "_song", "left")
     if "artist" in sides:
         artist = part.select(F.col("p_partkey").alias("userId"), artist_name().alias("artist"))
-        events = events.join(artist, "userId", "left")
+        # As many as parts: a broadcast would bring them all to the driver.
+        events = events.join(artist.hint("merge"), "userId", "left")
     return events.drop("_song")
 
 
@@ -136,7 +137,8 @@ def with_names(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame
         F.col("c_mktsegment").alias("lastName"),
         F.col("c_nationkey").cast("string").alias("gender"),
     )
-    return events.join(users, "userId", "left")
+    # As many as customers: a broadcast would bring them all to the driver.
+    return events.join(users.hint("merge"), "userId", "left")
 
 
 def plays(

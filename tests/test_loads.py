@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from starloom import plans, schemas
 from starloom.operators import quality, tables
 from starloom.plans import build_catalogue
-from starloom.sources import scan_csv
+from starloom.sources import conform, scan_csv
 from starloom.streaming import IncrementalStar, load_available
 from starloom.storage import children, shared_root
-from tests.conftest import EVENTS, event_rows, rows_of
+from starloom.workloads.standin import raw_events
+from tests.conftest import EVENTS, event_rows, plan_of, rows_of
 
 TABLES = ("songplays", "users", "songs", "artists", "time")
 
@@ -432,3 +433,22 @@ def test_a_batch_that_fails_its_checks_ends_the_load(spark, tmp_path, arriving):
 def test_incremental_needs_repeatable_keys():
     with pytest.raises(ValueError):
         IncrementalStar("/nowhere", plans.UPSERT, schemas.STAGED_EVENT)
+
+
+def test_the_log_and_each_batch_are_made_without_broadcasts(spark, tmp_path, raw_songs):
+    part = "id AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, 3 AS p_size, 1.5D AS p_retailprice"
+    spark.range(9).selectExpr(*part.split(", ")).write.parquet(str(tmp_path / "part.parquet"))
+    customer = "id AS c_custkey, 'c' AS c_name, 1 AS c_nationkey, 'm' AS c_mktsegment"
+    spark.range(9).selectExpr(*customer.split(", ")).write.parquet(str(tmp_path / "customer.parquet"))
+    event = "id AS event_id, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts, id AS user_id, 'purchase' AS event_type, 1D AS value, '{}' AS props"
+    spark.range(12).selectExpr(*event.split(", ")).write.parquet(str(tmp_path / "events.parquet"))
+    events = raw_events(spark, str(tmp_path), ("names", "artist"))
+    assert "Broadcast" not in plan_of(events) and events.count() == 12
+    raw_songs.write.parquet(str(tmp_path / "songs"))
+    songs, profile = spark.read.parquet(str(tmp_path / "songs")), plans.STAGED_LEFT
+    star = IncrementalStar(str(tmp_path / "star"), profile, schemas.STAGED_EVENT)
+    conform(raw_events(spark, str(tmp_path)), schemas.STAGED_EVENT).write.parquet(str(tmp_path / "staged"))
+    staged = spark.read.parquet(str(tmp_path / "staged"))
+    keys = [key.of_event().alias(name) for name, key in zip(star._keys, profile.match_keys)]
+    marked = staged.select("*", *keys, F.lit(0).alias("_batch"), F.lit(0).alias("_play"))
+    assert "Broadcast" not in plan_of(star._matched(marked, songs, build_catalogue(songs, profile)))

@@ -12,6 +12,11 @@ from pyspark.sql.types import IntegerType
 from starloom.operators.rows import with_keys
 
 
+#: Rows that one task of a join should make, and how many keys are looked at for that.
+ROWS_PER_TASK = 1_000_000
+MOST_HOT = 10_000
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], share: float, right: DataFrame | None = None, spread: int = 64
 ) -> DataFrame:
@@ -24,6 +29,21 @@ def hot_keys(
     One job counts rows per key, on the map side first, and adds the counts up on
     the way; only the largest ``1 / share`` counts come to the driver.
     """
+    return _hot_keys(df, keys, share, right, spread)[0]
+
+
+def _hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    share: float,
+    right: DataFrame | None,
+    spread: int,
+    rows_per_task: int | None = None,
+) -> tuple[DataFrame, int]:
+    """:func:`hot_keys`, and how many tasks the join's rows need, 1 without ``rows_per_task``.
+
+    With it a key that makes so many rows is hot too, and ``spread`` is as many tasks at least.
+    """
     if not 0 < share <= 1:
         raise ValueError("share is above 0 and at most 1")
     counts = with_keys(df, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
@@ -33,14 +53,18 @@ def hot_keys(
         counts = counts.join(partners, list(keys), "left").select(*keys, made.alias("_rows"))
     seen = Observation()
     seen_counts = counts.observe(seen, F.sum("_rows").alias("total"))
-    largest = seen_counts.orderBy(F.desc("_rows")).limit(math.ceil(1 / share)).collect()
+    most = math.ceil(1 / share)
+    largest = seen_counts.orderBy(F.desc("_rows")).limit(max(most, MOST_HOT) if rows_per_task else most).collect()
     total = seen.get["total"] if largest else 0
+    tasks = max(1, math.ceil(total / rows_per_task)) if rows_per_task else 1
+    spread = max(spread, tasks)
     hot = [
         (*[row[key] for key in keys], max(2, math.ceil(spread * row["_rows"] / total)))
         for row in largest
-        if row["_rows"] >= total * share
+        if row["_rows"] >= min(total * share, rows_per_task or total)
     ]
-    return df.sparkSession.createDataFrame(hot, df.select(*keys).schema.add("_slots", IntegerType()))
+    schema = df.select(*keys).schema.add("_slots", IntegerType())
+    return df.sparkSession.createDataFrame(hot, schema), tasks
 
 
 def join_spreading_hot_keys(
@@ -50,13 +74,17 @@ def join_spreading_hot_keys(
     how: str = "inner",
     share: float = 0.01,
     spread: int = 64,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Equi-join that deals the left rows of each hot key over up to ``spread`` partitions.
 
-    A key is hot if the join makes at least ``share`` of its rows from it. The right
-    rows of a hot key are repeated once per partition; all others stay single.
-    ``how`` is ``inner`` or ``left``. The hot keys number at most
-    ``1 / share``, so they are broadcast and collected safely.
+    A key is hot if the join makes at least ``share`` of its rows from it, or
+    ``rows_per_task`` rows. The right rows of a hot key are repeated once per partition;
+    all others stay single. ``how`` is ``inner`` or ``left``. The hot keys number at most
+    ``1 / share`` or ``MOST_HOT``, so they are broadcast and collected safely.
+
+    Spark chooses partitions by what goes into a join. One that makes many rows of few
+    gets partitions, and hot keys slots, for what comes out: ``rows_per_task`` each.
 
     The partition follows from the row's values and the input partition it is in,
     so it stays the same when a lost task runs again, and copies of one row are
@@ -64,7 +92,8 @@ def join_spreading_hot_keys(
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
-    hot = F.broadcast(hot_keys(left, keys, share, right, spread))
+    hot, tasks = _hot_keys(left, keys, share, right, spread, rows_per_task)
+    hot, spread = F.broadcast(hot), max(spread, tasks)
     place = F.xxhash64(*[F.col(name) for name in left.columns], F.spark_partition_id())
     # Rows without a key match nothing and may go anywhere.
     keyless = F.lit(False)
@@ -74,5 +103,8 @@ def join_spreading_hot_keys(
     dealt = left.join(hot, list(keys), "left").withColumn("_slot", F.pmod(place, size).cast("int"))
     slots = F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1)
     copied = right.join(hot, list(keys), "left").withColumn("_slot", F.explode(slots))
-    joined = dealt.drop("_slots").join(copied.drop("_slots"), [*keys, "_slot"], how)
+    dealt, copied, on = dealt.drop("_slots"), copied.drop("_slots"), [*keys, "_slot"]
+    if tasks > 1:
+        dealt, copied = dealt.repartition(tasks, *on), copied.repartition(tasks, *on)
+    joined = dealt.join(copied, on, how)
     return joined.drop("_slot")

@@ -12,6 +12,7 @@ from starloom.plans import build_catalogue
 from starloom.sources import conform, scan_csv
 from starloom.streaming import IncrementalStar, load_available
 from starloom.storage import children, shared_root
+from starloom.workloads.loads import numbers
 from starloom.workloads.standin import raw_events
 from tests.conftest import EVENTS, event_rows, plan_of, rows_of
 
@@ -435,6 +436,18 @@ def test_incremental_needs_repeatable_keys():
         IncrementalStar("/nowhere", plans.UPSERT, schemas.STAGED_EVENT)
 
 
+def test_numbers_are_counted_exactly(spark):
+    """Repeated, absent, negative and far numbers; none at all."""
+    ids = [0, 1, 63, 64, 64, None, -1, -64, 5, (1 << 33) + 5, (1 << 62) + 1, (1 << 62) + 1]
+    rows = spark.createDataFrame([(each,) for each in ids], "songplay_id long")
+    for some in (rows, rows.filter("false")):
+        for dense, last in ((True, F.max("songplay_id")), (False, F.count(F.lit(1)))):
+            plain = some.agg(F.lit("songplay_id"), F.countDistinct("songplay_id"), last.cast("string"))
+            assert [tuple(row) for row in numbers(some, dense).collect()] == [tuple(plain.first())]
+    shuffled = numbers(spark.range(0, 10_000, 1, 1).withColumnRenamed("id", "songplay_id"), True)
+    assert "bit_or" in plan_of(shuffled)
+
+
 def test_the_log_and_each_batch_are_made_without_broadcasts(spark, tmp_path, raw_songs):
     part = "id AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, 3 AS p_size, 1.5D AS p_retailprice"
     spark.range(9).selectExpr(*part.split(", ")).write.parquet(str(tmp_path / "part.parquet"))

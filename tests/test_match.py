@@ -213,3 +213,13 @@ def test_large_sides_are_not_broadcast(spark, plays, raw_songs):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan
     assert "Broadcast" not in plan and "Cartesian" not in plan
+
+
+def test_spread_join_gets_partitions_for_the_rows_it_makes(spark):
+    """Few rows go in and many come out, most of them from keys below the share."""
+    left = spark.range(200).selectExpr("concat('k', id % 4) AS k", "id")
+    right = spark.range(200).selectExpr("concat('k', id % 4) AS k", "id AS r")
+    spread = join_spreading_hot_keys(left, right, ["k"], share=0.9, spread=2, rows_per_task=500)
+    assert rows_of(spread.select("k", "id", "r")) == rows_of(left.join(right, "k").select("k", "id", "r"))
+    made = [row["count"] for row in spread.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(made) == 10_000 and len(made) > 8 and max(made) <= 2_500

@@ -54,8 +54,10 @@ def _hot_keys(
     seen = Observation()
     seen_counts = counts.observe(seen, F.sum("_rows").alias("total"))
     most = math.ceil(1 / share)
-    largest = seen_counts.orderBy(F.desc("_rows")).limit(max(most, MOST_HOT) if rows_per_task else most).collect()
-    total = seen.get["total"] if largest else 0
+    most = max(most, MOST_HOT) if rows_per_task else most
+    largest = seen_counts.orderBy(F.desc("_rows")).limit(most).collect()
+    # A limit that Spark knows to be no limit leaves a sort, which samples and so counts twice.
+    total = sum(row["_rows"] for row in largest) if len(largest) < most else seen.get["total"]
     tasks = max(1, math.ceil(total / rows_per_task)) if rows_per_task else 1
     spread = max(spread, tasks)
     hot = [
